@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, counts, packing
+from . import bpe, chat, counts, fingerprints, language, packing, quality, simhash
 from .common import documents
 
 
@@ -48,7 +48,37 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_chat_format, op5_power_of_two_packing, op7_token_counts)}
+def op6_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(documents(spark, sf_dir))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.predict(docs, language.fit(docs))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_distances(documents(spark, sf_dir))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.score(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_byte_bpe,
+        op3_chat_format,
+        op5_power_of_two_packing,
+        op6_simhash_covering,
+        op7_token_counts,
+        op8_language_id,
+        op9_fingerprints,
+        op10_quality_classifier,
+    )
+}
 
 ORACLE_SQL = {
     # The template adds 2 + 3 code points around a role and 9 behind a turn; texts here hold no "<|", "<\" or "<" at their end
