@@ -28,12 +28,7 @@ def labelled_texts(
     docs: DataFrame, labels: DataFrame, label: Column, most: int, most_bytes: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[list[str], list]:
     """At most ``most`` whole texts of at most ``most_bytes`` each, and their labels, on the driver."""
-    sample = labelled_ids(labels, label, most, id_col).collect()
-    if not sample:
-        return [], []
-    spark = docs.sparkSession
-    schema = "__key {}, __label {}".format(*(f.dataType.simpleString() for f in labels.select(F.col(f"`{id_col}`"), label).schema))
-    known = spark.createDataFrame([tuple(r) for r in sample], schema)
+    known = labelled_ids(labels, label, most, id_col)
     texts = docs.select(F.col(f"`{id_col}`").alias("__key"), F.col(f"`{text_col}`").alias("__text"))
     # the sample is bounded by ``most``; every document passes by it without a shuffle
     rows = (

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, counts, fingerprints, language, packing, quality, simhash
+from . import bpe, chat, counts, fingerprints, language, packing, quality, rules, simhash
 from .common import documents
 
 
@@ -40,6 +40,11 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return rules.judge(docs, rules.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
@@ -71,6 +76,7 @@ QUERIES = {
     for f in (
         op1_byte_bpe,
         op3_chat_format,
+        op4_quality_rules,
         op5_power_of_two_packing,
         op6_simhash_covering,
         op7_token_counts,
