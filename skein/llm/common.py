@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bounds of one Arrow batch, so that a worker's memory does not follow the length of the texts.
-BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 20_000, 4 << 20
 #: Texts of one round inside a worker hold at most this many characters, or are one text.
 ROUND_CHARS = 1 << 20
 #: A worker's memo of pieces is emptied beyond this many entries.
@@ -53,13 +54,14 @@ def map_texts(
     """
     bounded_batches(df.sparkSession)
     names = [x.strip().split()[0].strip("`") for x in schema.split(",")]
-    kept = df.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text_col}`").alias("__text"))
-    out = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]] + [schema])
+    kept = df.select(*[F.col(f"`{c}`") for c in columns], *[] if text_col in columns else [F.col(f"`{text_col}`").alias("__text")])
+    at = columns.index(text_col) if text_col in columns else len(columns)
+    out = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[: len(columns)]] + [schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = make()
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(len(columns)).to_pylist()]
+            texts = ["" if t is None else t for t in batch.column(at).to_pylist()]
             for a, b in rounds(texts):
                 made = of(texts[a:b])
                 yield pa.RecordBatch.from_arrays(
@@ -93,5 +95,11 @@ def drop_written(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets the driver notice plans that are gone, so that Spark deletes their shuffle files before the next large step."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -69,7 +69,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def grouped(prints: DataFrame, masks: list[int], id_col: str, print_col: str, group_col: str) -> DataFrame:
-    """id_col, print_col and group_col: the least id reachable over near fingerprints (hexadecimal strings of 64 bits).
+    """The columns of prints and group_col: the least id reachable over near fingerprints (hexadecimal strings of 64 bits).
 
     Equal fingerprints stand once in the search. Null ids do not name a group unless it has no other.
     """
@@ -80,4 +80,4 @@ def grouped(prints: DataFrame, masks: list[int], id_col: str, print_col: str, gr
     known = fps.join(roots.select(F.col("node").alias("__fp"), "root"), "__fp", "left").withColumn("root", F.coalesce("root", "__fp"))
     least = known.groupBy("root").agg(F.min("__least").alias(group_col))
     of = known.join(least, "root").select("__fp", group_col)
-    return rows.join(of, "__fp").select(id_col, print_col, group_col)
+    return rows.join(of, "__fp").select(*prints.columns, group_col)

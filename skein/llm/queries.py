@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, counts, fingerprints, language, packing, quality, rules, simhash
+from . import bpe, chat, counts, fingerprints, language, lines, packing, quality, rules, simhash
 from .common import documents
 
 
@@ -14,6 +14,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(documents(spark, sf_dir), counts=("n_lines", "n_removed")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")
@@ -75,6 +79,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe,
+        op2_line_dedup,
         op3_chat_format,
         op4_quality_rules,
         op5_power_of_two_packing,

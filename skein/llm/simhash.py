@@ -51,26 +51,30 @@ def covering_masks() -> list[int]:
     return [signed(sum(1 << i for i in range(64) if ((i % 7 + 1) & v).bit_count() & 1)) for v in range(1, 8)]
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col and fingerprint (16 lowercase hex digits)."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
+    """id_col, the columns ``more`` and fingerprint (16 lowercase hex digits)."""
     return map_texts(
-        docs, [id_col], text_col, "fingerprint string", lambda: lambda texts: {"fingerprint": pa.array([f"{fingerprint(t):016x}" for t in texts])}
+        docs, [id_col, *more], text_col, "fingerprint string", lambda: lambda texts: {"fingerprint": pa.array([f"{fingerprint(t):016x}" for t in texts])}
     )
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col, fingerprint and component_id, the least id that is reachable over fingerprints within two bits."""
-    prints = written(fingerprints(docs, id_col, text_col), "prints")
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
+    """As fingerprints, and component_id: the least id that is reachable over fingerprints within two bits."""
+    prints = written(fingerprints(docs, id_col, text_col, more), "prints")
     return grouped(prints, covering_masks(), id_col, "fingerprint", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, without those that repeat a group: the row of the least id stays.
+    """The rows of docs, with all their columns, of which those that repeat a group are gone: the row of the least id stays.
 
-    Of rows that share the least id of a group one stays; rows of a null id go unless the group has no other.
+    Rows of equal id and text are one document and stay once; rows of a null id go unless their group has no other.
     """
-    gone = near_groups(docs, id_col, text_col)
-    kept = gone.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct()
-    names = docs.columns
-    rows = docs.join(kept.select(F.col(id_col).alias("__kept")), F.col(f"`{id_col}`").eqNullSafe(F.col("__kept")), "left_semi")
-    return rows.dropDuplicates([id_col]).select(*[F.col(f"`{c}`") for c in names])
+    text, names = F.col(f"`{text_col}`"), docs.columns
+    keyed = docs.withColumn("__tie", F.xxhash64(text))
+    groups = written(near_groups(keyed, id_col, text_col, ("__tie",)), "groups")
+    key = F.col(f"`{id_col}`")
+    gone = groups.where(~key.eqNullSafe(F.col("component_id"))).select(key.alias("__gone"), F.col("__tie").alias("__gone_tie")).distinct()
+    left = keyed.join(gone, key.eqNullSafe(F.col("__gone")) & (F.col("__tie") == F.col("__gone_tie")), "left_anti")
+    if not groups.groupBy(id_col, "__tie").count().where("count > 1").isEmpty():
+        left = left.dropDuplicates([id_col, "__tie"])
+    return left.select(*[F.col(f"`{c}`") for c in names])
