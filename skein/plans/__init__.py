@@ -1,4 +1,5 @@
 """Queries over the driver's tables, and the SQL that checks them."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from .corpus import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
