@@ -24,22 +24,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, release, rounds, written
+from .common import bounded_batches, drop_written, release, rounds, written
 
 #: Buckets of word counts, as a power of two.
 COUNT_BITS = 18
-#: Bits of the filter of documents that hold candidates, as a power of two.
-FILTER_BITS = 22
+#: Bits of the filters of documents and of lines that are candidates, as powers of two.
+DOC_BITS, LINE_BITS = 22, 24
 #: Lines of one cell of a token, about; cells of a side of the grid at most; candidates that a line names per token.
-CELL, SIDES, NAMED = 20_000, 64, 4
+CELL, SIDES, NAMED = 20_000, 64, 16
+#: Parts of the tokens that are dealt out one after the other, so that their shuffle takes that share of the disk.
+PASSES = 4
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C55
+_STRIDE = 2_654_435_761
 
 
 def _mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -121,10 +124,12 @@ class Lines:
         return pa.ListArray.from_arrays(pa.array(np.append(self.first, len(self.token)), pa.int32()), pa.array(self.token.view(np.int64)))
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """did, tie and text of the documents that have a text."""
-    text = F.col(f"`{text_col}`")
-    return docs.where(text.isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("did"), F.xxhash64(text).alias("tie"), text.alias("text"))
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs with __did and __tie, which tell documents apart: a hash of the text is needed only where ids repeat."""
+    did, tie = F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{text_col}`"))
+    ids = docs.select(did.alias("did"), tie.alias("tie")).groupBy("did").agg((F.min("tie") != F.max("tie")).alias("differ"))
+    unique = ids.where("differ").isEmpty()
+    return docs.withColumn("__did", did).withColumn("__tie", F.lit(0).cast("long") if unique else tie)
 
 
 def rarity(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -180,19 +185,33 @@ def _line_table(texts: DataFrame, classes) -> DataFrame:
     return texts.mapInArrow(run, _LINE)
 
 
-def _postings(lines: DataFrame) -> DataFrame:
-    """(key, cell, ref, size, pos, b1, b2) of the prefix tokens of every distinct line; ref is its earliest occurrence."""
-    distinct = lines.groupBy("s1", "s2").agg(
+def _distinct(lines: DataFrame) -> DataFrame:
+    """Lines of different token sets, each as its earliest occurrence."""
+    rows = lines.groupBy("s1", "s2").agg(
         F.min(F.struct("did", "tie", "ln")).alias("ref"), F.max(F.struct("size", "b1", "b2")).alias("set"), F.max("prefix").alias("prefix")
     )
-    p = distinct.select("ref", "set.*", F.posexplode("prefix").alias("pos", "key"))
+    return rows.select("s1", "s2", "ref.*", "set.*", "prefix")
+
+
+def _postings(distinct: DataFrame, part: int | None = None) -> DataFrame:
+    """(key, cell, did, tie, line, spot, b1, b2) of the prefix tokens of every distinct line.
+
+    line holds the line's number and its size, spot the token's position and the line's block, in 32 bits each. With ``part``,
+    only that part of the tokens.
+    """
+    p = distinct.select("did", "tie", "ln", "size", "b1", "b2", F.posexplode("prefix").alias("pos", "key"))
+    if part is not None:
+        p = p.where(F.pmod("key", F.lit(PASSES)) == part)
     # the class bounds how often the token occurs; a grid of sides ** 2 / 2 cells holds about CELL lines in each
     often = F.pow(F.lit(2.0), F.shiftrightunsigned("key", 56) / 8.0)
-    sides = F.least(F.lit(SIDES), F.ceil(often / CELL)).cast("int")
-    block = F.pmod(F.xxhash64("ref"), F.col("sides")).cast("int")
+    p = p.withColumn("sides", F.least(F.lit(SIDES), F.ceil(often / CELL)).cast("int"))
+    block = F.when(F.col("sides") == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("did", "tie", "ln"), F.col("sides")).cast("int"))
+    p = p.withColumn("block", block)
     cells = F.transform(F.sequence(F.lit(0), F.col("sides") - 1), lambda o: F.least(F.col("block"), o) * SIDES + F.greatest(F.col("block"), o))
-    p = p.withColumn("sides", sides).withColumn("block", block).withColumn("cell", F.explode(F.when(F.col("sides") == 1, F.array(F.lit(0))).otherwise(cells)))
-    return p.select("key", "cell", "ref.*", "size", "pos", "block", "b1", "b2")
+    p = p.withColumn("cell", F.explode(F.when(F.col("sides") == 1, F.array(F.lit(0))).otherwise(cells)))
+    return p.selectExpr(
+        "key", "cell", "did", "tie", "(CAST(ln AS bigint) * 4294967296 + size) AS line", "(CAST(pos AS bigint) * 4294967296 + block) AS spot", "b1", "b2"
+    )
 
 
 def _candidates(postings: DataFrame) -> DataFrame:
@@ -200,11 +219,11 @@ def _candidates(postings: DataFrame) -> DataFrame:
 
     def pairs(x: dict[str, np.ndarray], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Indices of later and earlier rows within groups of sorted rows; which rows have more."""
-        n = len(x["size"])
+        n = len(x["line"])
         ends = np.repeat(np.append(starts[1:], n), np.diff(np.append(starts, n)))
         left, later, earlier = np.arange(n), [], []
         named, step = np.zeros(n, np.int64), 0
-        size, pos, cell, block = (x[k] for k in ("size", "pos", "cell", "block"))
+        size, pos, cell, block = x["line"] & 0xFFFFFFFF, x["spot"] >> 32, x["cell"].astype(np.int64), x["spot"] & 0xFFFFFFFF
         b1, b2 = x["b1"].view(_U), x["b2"].view(_U)  # counts of set bits are those of unsigned values
         while True:
             step += 1
@@ -227,18 +246,20 @@ def _candidates(postings: DataFrame) -> DataFrame:
         none = np.zeros(0, np.int64)
         return np.concatenate([none, *later]), np.concatenate([none, *earlier]), named > NAMED
 
-    names = ["key", "cell", "did", "tie", "ln", "size", "pos", "block", "b1", "b2"]
+    names = ["key", "cell", "did", "tie", "line", "spot", "b1", "b2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         rows = 0
 
         def done(table: pa.Table) -> pa.RecordBatch:
-            x = {c: table[c].to_numpy() for c in names if c not in ("did", "tie", "ln")}
+            x = {c: table[c].to_numpy() for c in names if c not in ("did", "tie")}
             new = np.ones(table.num_rows, bool)
             new[1:] = (x["key"][1:] != x["key"][:-1]) | (x["cell"][1:] != x["cell"][:-1])
             later, earlier, more = pairs(x, np.flatnonzero(new))
-            out = [table[c].combine_chunks().take(pa.array(at)) for at in (later, earlier) for c in ("did", "tie", "ln")]
+            number = pa.array((x["line"] >> 32).astype(np.int32))
+            columns = [table["did"].combine_chunks(), table["tie"].combine_chunks(), number]
+            out = [c.take(pa.array(at)) for at in (later, earlier) for c in columns]
             return pa.RecordBatch.from_arrays([*out, pa.array(more[later])], ["did", "tie", "ln", "did0", "tie0", "ln0", "more"])
 
         for batch in batches:
@@ -256,37 +277,48 @@ def _candidates(postings: DataFrame) -> DataFrame:
         if rows:
             yield done(pa.Table.from_batches(held).combine_chunks())
 
-    dealt = postings.repartition("key", "cell").sortWithinPartitions("key", "cell", "did", "tie", "ln").select(*names)
+    dealt = postings.repartition("key", "cell").sortWithinPartitions("key", "cell", "did", "tie", "line").select(*names)
     return dealt.mapInArrow(run, "did bigint, tie bigint, ln int, did0 bigint, tie0 bigint, ln0 int, more boolean")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, classes) -> DataFrame:
     """The pairs (did, tie, ln, did0, tie0, ln0) whose token sets have a Jaccard similarity of 0.8 or more."""
     spark = pairs.sparkSession
-    ends = pairs.select("did", "tie").unionByName(pairs.select(F.col("did0").alias("did"), F.col("tie0").alias("tie"))).distinct()
-    slot = F.xxhash64("did", "tie").bitwiseAND((1 << FILTER_BITS) - 1)
-    words = ends.select(slot.alias("slot")).selectExpr("shiftright(slot, 6) AS w", "shiftleft(1L, CAST(slot & 63 AS int)) AS b")
-    # at most 2 ** (FILTER_BITS - 6) rows, whatever the number of candidates
-    table = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    bits[table["w"].to_numpy()] = table["b"].to_numpy()
-    shared = spark.sparkContext.broadcast(bits)
+    ends = pairs.select("did", "tie", "ln").unionByName(pairs.select(*[F.col(f"{c}0").alias(c) for c in ("did", "tie", "ln")])).distinct()
+    hashed = F.xxhash64("did", "tie")
+    doc_slot = hashed.bitwiseAND((1 << DOC_BITS) - 1)
+
+    def bitmap(slot: Column, bits: int):
+        """Set bits of the slots; at most 2 ** (bits - 6) rows come to the driver, whatever the number of candidates."""
+        words = ends.select(slot.alias("slot")).selectExpr("shiftright(slot, 6) AS w", "shiftleft(1L, CAST(slot & 63 AS int)) AS b")
+        table = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+        out = np.zeros(1 << (bits - 6), np.int64)
+        out[table["w"].to_numpy()] = table["b"].to_numpy()
+        return spark.sparkContext.broadcast(out)
+
+    # a line's slot: its document's hash and its number
+    docs_in = bitmap(doc_slot, DOC_BITS)
+    lines_in = bitmap(hashed.bitwiseXOR(F.col("ln").cast("long") * _STRIDE).bitwiseAND((1 << LINE_BITS) - 1), LINE_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(3).to_numpy()
-            hit = np.flatnonzero((shared.value[at >> 6] >> (at & 63)) & 1)
-            batch = batch.take(pa.array(hit))
+            h = batch.column(3).to_numpy()
+            at = h & ((1 << DOC_BITS) - 1)
+            hit = np.flatnonzero((docs_in.value[at >> 6] >> (at & 63)) & 1)
+            batch, h = batch.take(pa.array(hit)), h[hit]
             body = batch.column(2).to_pylist()
             for a, b in rounds(body):
                 x = Lines(body[a:b], classes.value)
-                if len(x.first):
-                    which = pa.array(x.text + a)
+                at = (h[x.text + a] ^ (x.number * _STRIDE)) & ((1 << LINE_BITS) - 1)
+                hit = np.flatnonzero((lines_in.value[at >> 6] >> (at & 63)) & 1)
+                if len(hit):
+                    which = pa.array(x.text[hit] + a)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(which), batch.column(1).take(which), pa.array(x.number, pa.int32()), x.tokens()], ["did", "tie", "ln", "tokens"]
+                        [batch.column(0).take(which), batch.column(1).take(which), pa.array(x.number[hit], pa.int32()), x.tokens().take(pa.array(hit))],
+                        ["did", "tie", "ln", "tokens"],
                     )
 
-    sets = texts.select("did", "tie", "text", slot.alias("slot")).mapInArrow(run, "did bigint, tie bigint, ln int, tokens array<bigint>")
+    sets = texts.select("did", "tie", "text", hashed.alias("h")).mapInArrow(run, "did bigint, tie bigint, ln int, tokens array<bigint>")
     sets = written(sets, "sets")
     one, two = ("did", "tie", "ln"), ("did0", "tie0", "ln0")
     named = sets.select(F.struct(*one).alias("r"), "tokens").dropDuplicates(["r"])
@@ -298,50 +330,72 @@ def _verified(pairs: DataFrame, texts: DataFrame, classes) -> DataFrame:
     return joined.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("later.*")
 
 
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(did, tie, ln): lines to remove, counted from 0 in the document of id did and text hash tie."""
-    spark = docs.sparkSession
+def _removed(texts: DataFrame) -> DataFrame:
+    """(did, tie, ln): lines to remove from texts of columns did, tie and text, counted from 0."""
+    spark = texts.sparkSession
     bounded_batches(spark)
-    texts = _texts(docs, id_col, text_col)
-    classes = spark.sparkContext.broadcast(rarity(docs, text_col))
+    classes = spark.sparkContext.broadcast(rarity(texts))
     lines = written(_line_table(texts, classes), "lines")
-    named = written(_candidates(_postings(lines)).groupBy("did", "tie", "ln", "did0", "tie0", "ln0").agg(F.max("more").alias("more")), "pairs")
+    distinct = written(_distinct(lines), "distinct")
+    ref = ["did", "tie", "ln"]
+    first = distinct.select("s1", "s2", F.struct(*ref).alias("first"))
+    equal = written(lines.select("s1", "s2", *ref).join(first, ["s1", "s2"]).where(F.struct(*ref) != F.col("first")).select(*ref), "equal")
+    drop_written(lines)
     release(spark)
+    ends = [*ref, *[f"{c}0" for c in ref]]
+    parts = []
+    for i in range(PASSES):
+        parts.append(written(_candidates(_postings(distinct, i)).groupBy(*ends).agg(F.max("more").alias("more")), "part"))
+        release(spark)
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    named = written(every.groupBy(*ends).agg(F.max("more").alias("more")), "pairs")
+    for part in parts:
+        drop_written(part)
     near = written(_verified(named, texts, classes).distinct(), "near")
     # lines that have more candidates than they named, and match none of those: all of theirs
-    ref = ["did", "tie", "ln"]
     open_ = written(named.where("more").select(*ref).distinct().join(near, ref, "left_anti"), "open")
     if not open_.isEmpty():
-        p = _postings(lines)
-        mine = p.join(open_, ref, "left_semi")
-        other = p.select("key", "cell", *[F.col(c).alias(f"{c}0") for c in p.columns if c not in ("key", "cell")])
+        mine = written(_postings(distinct.join(open_, ref, "left_semi")), "mine")
+        theirs = _postings(distinct).join(mine.select("key", "cell").distinct(), ["key", "cell"], "left_semi")
+        theirs = theirs.select("key", "cell", *[F.col(c).alias(f"{c}0") for c in theirs.columns if c not in ("key", "cell")])
+        joined = mine.join(theirs, ["key", "cell"])
+        for end in ("", "0"):
+            joined = joined.withColumns(
+                {
+                    f"ln{end}": F.shiftright(f"line{end}", 32).cast("int"),
+                    f"size{end}": F.col(f"line{end}").bitwiseAND(0xFFFFFFFF),
+                    f"pos{end}": F.shiftright(f"spot{end}", 32),
+                }
+            )
         need = F.floor((4 * (F.col("size") + F.col("size0")) + 8) / 9)
         apart = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}0"))) for b in ("b1", "b2"))
-        cond = (
-            (F.struct("did0", "tie0", "ln0") < F.struct("did", "tie", "ln"))
+        earlier = F.struct(*[F.col(f"{c}0").alias(c) for c in ref]) < F.struct(*ref)
+        joined = joined.where(
+            earlier
             & (5 * F.least("size", "size0") >= 4 * F.greatest("size", "size0"))
             & (F.least(F.col("size") - F.col("pos"), F.col("size0") - F.col("pos0")) >= need)
             & (apart <= F.col("size") + F.col("size0") - 2 * need)
         )
-        more = mine.join(other, ["key", "cell"]).where(cond).select(*ref, "did0", "tie0", "ln0").distinct()
-        near = written(near.unionByName(_verified(written(more, "pairs"), texts, classes)).distinct(), "near")
-    first = lines.groupBy("s1", "s2").agg(F.min(F.struct(*ref)).alias("ref"))
-    equal = lines.select("s1", "s2", *ref).join(first, ["s1", "s2"]).where(F.struct(*ref) != F.col("ref")).select(*ref)
+        more = written(joined.select(*ends).distinct(), "pairs")
+        near = written(near.unionByName(_verified(more, texts, classes)).distinct(), "near")
+    drop_written(distinct)
     return equal.unionByName(near)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] | None = None) -> DataFrame:
     """docs with its columns, the text without the lines that go; with ``counts``, columns of these names: lines, and removed ones."""
-    gone = removed_lines(docs, id_col, text_col).groupBy("did", "tie").agg(F.collect_set("ln").alias("__gone"))
-    gone = gone.select(F.struct("did", "tie").alias("__key"), "__gone")
-    text = F.col(f"`{text_col}`")
-    names = docs.columns
-    keyed = docs.withColumn("__key", F.struct(F.col(f"`{id_col}`").cast("long").alias("did"), F.xxhash64(text).alias("tie")))
-    joined = keyed.join(gone, "__key", "left")
+    text, names = F.col(f"`{text_col}`"), docs.columns
+    keyed = _keyed(docs, id_col, text_col)
+    gone = _removed(keyed.where(text.isNotNull()).select(F.col("__did").alias("did"), F.col("__tie").alias("tie"), text.alias("text")))
+    gone = gone.groupBy("did", "tie").agg(F.collect_set("ln").alias("__gone"))
+    gone = written(gone.select(F.struct("did", "tie").alias("__key"), "__gone"), "gone")
+    release(docs.sparkSession)
+    joined = keyed.withColumn("__key", F.struct(F.col("__did").alias("did"), F.col("__tie").alias("tie"))).join(gone, "__key", "left")
     pieces = F.split(text, "\n")
     left = F.array_join(F.filter(pieces, lambda x, i: ~F.array_contains("__gone", i)), "\n")
     out = [F.when(F.col("__gone").isNull(), text).otherwise(left).alias(c) if c == text_col else F.col(f"`{c}`") for c in names]
     if counts:
         out += [F.coalesce(F.size(pieces), F.lit(0)).cast("long").alias(counts[0]), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias(counts[1])]
-    release(docs.sparkSession)
     return joined.select(*out)
