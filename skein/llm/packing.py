@@ -24,9 +24,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MEMO_ENTRIES, bounded_batches, file_bytes, rounds
+from .common import bounded_batches, file_bytes, rounds
 
 CALL = 4096
+#: A worker remembers the ids of this many stretches and of this many words, about 200 bytes each.
+MEMO_ENTRIES = 600_000
 #: Words of Latin letters with ASCII punctuation behind them; no special string and no contraction matches.
 LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)").fullmatch
 #: Byte-level tokenizers write bytes as characters: printable ones as themselves, the rest from 256 on.
