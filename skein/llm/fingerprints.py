@@ -194,7 +194,14 @@ def block_masks(radius: int, blocks: int) -> list[int]:
     return [signed(sum(chosen)) for chosen in combinations(parts, blocks - radius)]
 
 
-def near_groups(docs: DataFrame, blocks: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col, fingerprint and group_id (least id reachable over fingerprints within radius 2), by permuted block tables."""
-    prints = written(fingerprints(docs.select(id_col, text_col), id_col, text_col), "prints")
+def with_groups(prints: DataFrame, blocks: int = 5, id_col: str = "doc_id") -> DataFrame:
+    """prints, which should be a written table, and group_id: the least id reachable over fingerprints within radius 2.
+
+    Near fingerprints are found by permuted block tables.
+    """
     return grouped(prints, block_masks(2, blocks), id_col, "fingerprint", "group_id")
+
+
+def near_groups(docs: DataFrame, blocks: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id_col, fingerprint and group_id of every text."""
+    return with_groups(written(fingerprints(docs, id_col, text_col), "prints"), blocks, id_col)

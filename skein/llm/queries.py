@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, counts, fingerprints, language, lines, packing, quality, rules, simhash
-from .common import documents
+from .common import documents, release, written
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +67,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.edit_distances(documents(spark, sf_dir))
+    distances = written(fingerprints.edit_distances(documents(spark, sf_dir)), "distances")
+    release(spark)
+    return fingerprints.with_groups(distances)
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
