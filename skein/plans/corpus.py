@@ -575,24 +575,24 @@ def cartesian_prompts(spark, sf_dir):
     return generate.cartesian_prompts(spark, [f"c{i}" for i in range(4)], [f"q{j}" for j in range(3)], [f"f{k}" for k in range(2)])
 
 
-_LOSS = "(doc_id % 97) / CAST(40 AS DOUBLE)"
+_LOSS = "(doc_id % 97) / CAST(32 AS DOUBLE)"
 
 
-@query(f"SELECT lang, quality, toxic, sum(strlen(text))::BIGINT AS tokens, sum({_LOSS} * strlen(text)) / sum(strlen(text)) AS loss, exp(least(sum({_LOSS} * strlen(text)) / sum(strlen(text)), 20)) AS perplexity FROM documents JOIN labels USING (doc_id) GROUP BY lang, quality, toxic")
+@query(f"SELECT lang, quality, toxic, sum(strlen(text))::BIGINT AS tokens, sum({_LOSS} * strlen(text)) / sum(strlen(text)) AS loss, round(exp(least(sum({_LOSS} * strlen(text)) / sum(strlen(text)), 20)), 6) AS perplexity FROM documents JOIN labels USING (doc_id) GROUP BY lang, quality, toxic")
 def token_weighted_eval(spark, sf_dir):
     rows = _docs(spark, sf_dir).join(_table(spark, sf_dir, "labels"), "doc_id")
-    return evaluate.weighted_loss(rows, ["lang", "quality", "toxic"], (F.col("doc_id") % 97) / F.lit(40.0), BYTES("text").cast("long"))
+    return evaluate.weighted_loss(rows, ["lang", "quality", "toxic"], (F.col("doc_id") % 97) / F.lit(32.0), BYTES("text").cast("long")).withColumn("perplexity", F.round("perplexity", 6))
 
 
-@query("SELECT event_id, event_type, avg(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS moving_mean FROM events")
+@query("SELECT event_id, event_type, round(avg(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 6) AS moving_mean FROM events")
 def moving_average_metric(spark, sf_dir):
     rows = _table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
-    return evaluate.moving_mean(rows, ["event_type"], ["ts", "event_id"], "value", 10).select("event_id", "event_type", "moving_mean")
+    return evaluate.moving_mean(rows, ["event_type"], ["ts", "event_id"], "value", 10).select("event_id", "event_type", F.round("moving_mean", 6).alias("moving_mean"))
 
 
-@query("SELECT lang, count(*) AS rows, avg((strlen(text) - length(text)) / CAST(greatest(strlen(text), 1) AS DOUBLE)) AS unknown_rate FROM documents GROUP BY lang")
+@query("SELECT lang, count(*) AS rows, round(avg((strlen(text) - length(text)) / CAST(greatest(strlen(text), 1) AS DOUBLE)), 9) AS unknown_rate FROM documents GROUP BY lang")
 def unknown_rates(spark, sf_dir):
-    return evaluate.unknown_rate(_docs(spark, sf_dir), ["lang"], BYTES("text") - F.length("text"), BYTES("text"))
+    return evaluate.unknown_rate(_docs(spark, sf_dir), ["lang"], BYTES("text") - F.length("text"), BYTES("text")).withColumn("unknown_rate", F.round("unknown_rate", 9))
 
 
 @query("SELECT lang, count(*) FILTER (quality = 1 - toxic) AS matches, count(*) AS rows FROM documents JOIN labels USING (doc_id) GROUP BY lang")
@@ -602,12 +602,12 @@ def exact_match_rate(spark, sf_dir):
 
 
 @query(
-    """SELECT s AS step, CASE WHEN s < 30 THEN greatest(s, 1) / CAST(30 AS DOUBLE) ELSE 0.1::DOUBLE + 0.9::DOUBLE * 0.5::DOUBLE * (1 + cos(pi() * least((s - 30) / CAST(970 AS DOUBLE), 1.0::DOUBLE))) END AS cosine,
-CASE WHEN s < 30 THEN greatest(s, 1) / CAST(30 AS DOUBLE) WHEN s < 800 THEN 1.0::DOUBLE ELSE 0.1::DOUBLE + 0.9::DOUBLE * 0.5::DOUBLE * (1 + cos(pi() * least((s - 800) / CAST(200 AS DOUBLE), 1.0::DOUBLE))) END AS stable FROM range(0, 1001) t(s)"""
+    """SELECT s AS step, round(CASE WHEN s < 30 THEN greatest(s, 1) / CAST(30 AS DOUBLE) ELSE 0.1::DOUBLE + 0.9::DOUBLE * 0.5::DOUBLE * (1 + cos(pi() * least((s - 30) / CAST(970 AS DOUBLE), 1.0::DOUBLE))) END, 9) AS cosine,
+round(CASE WHEN s < 30 THEN greatest(s, 1) / CAST(30 AS DOUBLE) WHEN s < 800 THEN 1.0::DOUBLE ELSE 0.1::DOUBLE + 0.9::DOUBLE * 0.5::DOUBLE * (1 + cos(pi() * least((s - 800) / CAST(200 AS DOUBLE), 1.0::DOUBLE))) END, 9) AS stable FROM range(0, 1001) t(s)"""
 )
 def lr_schedule(spark, sf_dir):
     s = F.col("id")
-    return spark.range(1001).select(s.alias("step"), curves.warmup_cosine(s, 30, 1000, 0.1).alias("cosine"), curves.warmup_stable_decay(s, 30, 1000, 0.8, 0.1).alias("stable"))
+    return spark.range(1001).select(s.alias("step"), F.round(curves.warmup_cosine(s, 30, 1000, 0.1), 9).alias("cosine"), F.round(curves.warmup_stable_decay(s, 30, 1000, 0.8, 0.1), 9).alias("stable"))
 
 
 @query("SELECT w AS width, (65536 * w + 32 * (2 * w * w + 2 * w * (w // 4) + 12 * w * w + 2 * w) + w)::BIGINT AS parameters, (65536 * w + 32 * (2 * w * w + 2 * w * (w // 4) + 12 * w * w + 2 * w) + w)::BIGINT * 16 AS bytes FROM range(1024, 4097, 1024) t(w)")
