@@ -60,7 +60,7 @@ BYTES = F.octet_length
 
 @query("SELECT doc_id, sha256(text) AS text_sha256, length(text) AS chars, strlen(text) AS bytes FROM documents")
 def doc_fingerprint(spark, sf_dir):
-    return _table(spark, sf_dir, "documents").select("doc_id", tx.content_hash(F.col("text")).alias("text_sha256"), F.length("text").alias("chars"), BYTES("text").alias("bytes"))
+    return _table(spark, sf_dir, "documents").select("doc_id", tx.content_hash(F.col("text")).alias("text_sha256"), F.length("text").cast("long").alias("chars"), BYTES("text").cast("long").alias("bytes"))
 
 
 @query(f"WITH {DOCS} SELECT split, count(*) AS records, count(*) - count(DISTINCT text) AS exact_duplicates FROM docs GROUP BY split")
@@ -246,7 +246,7 @@ def control_literal_rejects(spark, sf_dir):
 
 @query("SELECT doc_id, strlen(text) AS bytes FROM documents WHERE strlen(text) > 8192")
 def byte_limit_rejects(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", BYTES("text").alias("bytes")).where("bytes > 8192")
+    return _docs(spark, sf_dir).select("doc_id", BYTES("text").cast("long").alias("bytes")).where("bytes > 8192")
 
 
 @query("SELECT doc_id, sha256(nfc_normalize(text)) AS nfc_sha256 FROM documents")
@@ -376,7 +376,7 @@ def packable_selection(spark, sf_dir):
 
 @query("SELECT doc_id, strlen(text) AS bytes FROM documents WHERE strlen(text) + 2 <= 512 ORDER BY doc_id LIMIT 20")
 def smoke_subset_rows(spark, sf_dir):
-    return pack.smoke_subset(_docs(spark, sf_dir), BYTES("text"), 512, ["doc_id"], 20)[0].select("doc_id", BYTES("text").alias("bytes"))
+    return pack.smoke_subset(_docs(spark, sf_dir), BYTES("text"), 512, ["doc_id"], 20)[0].select("doc_id", BYTES("text").cast("long").alias("bytes"))
 
 
 _SHARD_SQL = """WITH RECURSIVE o AS (SELECT lang, doc_id, strlen(text) + 2 AS n, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn FROM documents),
@@ -475,7 +475,7 @@ def chat_supervision_lengths(spark, sf_dir):
     answer = F.concat(wn.byte_ids(F.col("answer")), F.array(F.lit(2)))
     rows = rows.select("conv_id", n.cast("long").alias("prefix_tokens"), answer.alias("a"))
     labels = wn.answer_labels(F.array_repeat(F.lit(5), F.col("prefix_tokens").cast("int")), F.col("a"), 65_536)
-    return rows.select("conv_id", "prefix_tokens", F.size("a").alias("answer_tokens"), F.size(F.filter(labels, lambda x: x != -100)).alias("supervised"))
+    return rows.select("conv_id", "prefix_tokens", F.size("a").cast("long").alias("answer_tokens"), F.size(F.filter(labels, lambda x: x != -100)).cast("long").alias("supervised"))
 
 
 def _families() -> list[dict]:
@@ -556,7 +556,7 @@ def capacity_guard(spark, sf_dir):
     return verify.capacity_reasons(generate.families(spark, _families(), 50_000))
 
 
-@query(f"SELECT split, lang AS language, n * {FAMILY_RECORDS} AS records FROM (VALUES " + ", ".join(f"('{s}', '{g}', {sum(f['split'] == s and f['language'] == g for f in _families())})" for s in ("train", "validation", "blind") for g in ("en", "ru")) + ") t(split, lang, n)")
+@query(f"SELECT split, lang AS language, (n * {FAMILY_RECORDS})::BIGINT AS records FROM (VALUES " + ", ".join(f"('{s}', '{g}', {sum(f['split'] == s and f['language'] == g for f in _families())})" for s in ("train", "validation", "blind") for g in ("en", "ru")) + ") t(split, lang, n)")
 def generated_counts(spark, sf_dir):
     return _records(spark).groupBy("split", "language").agg(F.count("*").alias("records"))
 
