@@ -10,7 +10,7 @@ another token. A line goes if an earlier line, kept or not, has a Jaccard simila
    n - ceil(0.8 n) + 1. These tokens are dealt out by token; a token that may be frequent is dealt to a grid of cells, of which
    each pair of lines meets in one.
 4. Within a token, pairs pass the length filter, the positional filter and a filter by parity bits of both token sets (their
-   difference is at least that of the bits). A line names a few of its candidates; lines that have more and match none of
+   difference is at least that of the bits). A line names a few of its candidates, the earliest ones; lines that have more and match none of
    those go through a join with all of theirs, so that families of near copies are not paired with each other.
 5. Candidates are verified on their token sets. What is compared is 64-bit hashes of tokens.
 
@@ -34,9 +34,12 @@ COUNT_BITS = 18
 #: Bits of the filters of documents and of lines that are candidates, as powers of two.
 DOC_BITS, LINE_BITS = 22, 24
 #: Lines of one cell of a token, about; cells of a side of the grid at most; candidates that a line names per token.
-CELL, SIDES, NAMED = 20_000, 64, 16
+CELL, SIDES, NAMED = 20_000, 64, 4
+#: 64-bit words of the parity bitmap of a line's tokens: long lines need long bitmaps to be told apart.
+BITMAP = 4
+B = [f"b{i + 1}" for i in range(BITMAP)]
 #: Parts of the tokens that are dealt out one after the other, so that their shuffle takes that share of the disk.
-PASSES = 4
+PASSES = 6
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -108,9 +111,9 @@ class Lines:
     def sums(self, salt: int) -> np.ndarray:
         return np.add.reduceat(_mix(self.token, salt), self.first).view(np.int64)
 
-    def parity(self, half: int) -> np.ndarray:
-        """Half of a bitmap of 128 bits: how often the tokens of each bit occur, modulo two."""
-        bit = np.where((self.token >> _U(57)) & _U(1) == half, _U(1) << (self.token >> _U(58)), _U(0))
+    def parity(self, word: int) -> np.ndarray:
+        """One of the BITMAP words of a bitmap: how often the tokens of each bit occur, modulo two."""
+        bit = np.where((self.token >> _U(50)) % _U(BITMAP) == word, _U(1) << (self.token >> _U(58)), _U(0))
         return np.bitwise_xor.reduceat(bit, self.first).view(np.int64)
 
     def prefixes(self) -> pa.ListArray:
@@ -156,7 +159,7 @@ def rarity(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.minimum(255, np.ceil(8 * np.log2(counts + 1.0))).astype(np.uint8)
 
 
-_LINE = "did bigint, tie bigint, ln int, s1 bigint, s2 bigint, size int, b1 bigint, b2 bigint, prefix array<bigint>"
+_LINE = f"did bigint, tie bigint, ln int, s1 bigint, s2 bigint, size int, {', '.join(f'{b} bigint' for b in B)}, prefix array<bigint>"
 
 
 def _line_table(texts: DataFrame, classes) -> DataFrame:
@@ -178,7 +181,7 @@ def _line_table(texts: DataFrame, classes) -> DataFrame:
                 prefix = pa.ListArray.from_arrays(prefix.offsets, prefix.values, mask=pa.array(bare))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(which), batch.column(1).take(which), pa.array(x.number, pa.int32()), pa.array(s1), pa.array(x.sums(2))]
-                    + [pa.array(x.size, pa.int32()), pa.array(x.parity(0)), pa.array(x.parity(1)), prefix],
+                    + [pa.array(x.size, pa.int32()), *(pa.array(x.parity(w)) for w in range(BITMAP)), prefix],
                     [f.split()[0] for f in _LINE.split(", ")],
                 )
 
@@ -188,29 +191,47 @@ def _line_table(texts: DataFrame, classes) -> DataFrame:
 def _distinct(lines: DataFrame) -> DataFrame:
     """Lines of different token sets, each as its earliest occurrence."""
     rows = lines.groupBy("s1", "s2").agg(
-        F.min(F.struct("did", "tie", "ln")).alias("ref"), F.max(F.struct("size", "b1", "b2")).alias("set"), F.max("prefix").alias("prefix")
+        F.min(F.struct("did", "tie", "ln")).alias("ref"), F.max(F.struct("size", *B)).alias("set"), F.max("prefix").alias("prefix")
     )
     return rows.select("s1", "s2", "ref.*", "set.*", "prefix")
 
 
-def _postings(distinct: DataFrame, part: int | None = None) -> DataFrame:
-    """(key, cell, did, tie, line, spot, b1, b2) of the prefix tokens of every distinct line.
+def _slot(key: Column) -> Column:
+    """Hashed bucket of a token's key."""
+    return F.shiftrightunsigned(key, 38).bitwiseAND((1 << COUNT_BITS) - 1)
+
+
+def _sides(distinct: DataFrame) -> DataFrame:
+    """(slot, sides) of the buckets of tokens that many prefixes hold: how finely to deal them; at most 2 ** COUNT_BITS rows.
+
+    A bucket's count less twice the mean of all buckets is what a frequent token of it can have, about.
+    """
+    counts = distinct.select(F.explode("prefix").alias("key")).groupBy(_slot(F.col("key")).alias("slot")).agg(F.count("*").alias("n"))
+    mean = (distinct.agg(F.sum(F.size("prefix"))).first()[0] or 0) / (1 << COUNT_BITS)
+    sides = F.least(F.lit(SIDES), F.ceil((F.col("n") - 2 * mean) / CELL)).cast("int")
+    return written(counts.where(F.col("n") > CELL).select("slot", sides.alias("sides")).where("sides > 1"), "sides")
+
+
+def _postings(distinct: DataFrame, sides: DataFrame, part: int | None = None) -> DataFrame:
+    """(key, cell, did, tie, line, spot and B) of the prefix tokens of every distinct line.
 
     line holds the line's number and its size, spot the token's position and the line's block, in 32 bits each. With ``part``,
-    only that part of the tokens.
+    only that part of the tokens. A token of ``sides`` has a grid of sides ** 2 / 2 cells: a line goes to those of its block.
     """
-    p = distinct.select("did", "tie", "ln", "size", "b1", "b2", F.posexplode("prefix").alias("pos", "key"))
+    p = distinct.select("did", "tie", "ln", "size", *B, F.posexplode("prefix").alias("pos", "key"))
     if part is not None:
         p = p.where(F.pmod("key", F.lit(PASSES)) == part)
-    # the class bounds how often the token occurs; a grid of sides ** 2 / 2 cells holds about CELL lines in each
-    often = F.pow(F.lit(2.0), F.shiftrightunsigned("key", 56) / 8.0)
-    p = p.withColumn("sides", F.least(F.lit(SIDES), F.ceil(often / CELL)).cast("int"))
-    block = F.when(F.col("sides") == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("did", "tie", "ln"), F.col("sides")).cast("int"))
-    p = p.withColumn("block", block)
-    cells = F.transform(F.sequence(F.lit(0), F.col("sides") - 1), lambda o: F.least(F.col("block"), o) * SIDES + F.greatest(F.col("block"), o))
-    p = p.withColumn("cell", F.explode(F.when(F.col("sides") == 1, F.array(F.lit(0))).otherwise(cells)))
+    if sides.isEmpty():
+        p = p.withColumns({"block": F.lit(0), "cell": F.lit(0)})
+    else:
+        # at most 2 ** COUNT_BITS rows
+        p = p.withColumn("slot", _slot(F.col("key"))).join(F.broadcast(sides), "slot", "left").withColumn("sides", F.coalesce("sides", F.lit(1)))
+        block = F.when(F.col("sides") == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("did", "tie", "ln"), F.col("sides")).cast("int"))
+        p = p.withColumn("block", block)
+        cells = F.transform(F.sequence(F.lit(0), F.col("sides") - 1), lambda o: F.least(F.col("block"), o) * SIDES + F.greatest(F.col("block"), o))
+        p = p.withColumn("cell", F.explode(F.when(F.col("sides") == 1, F.array(F.lit(0))).otherwise(cells)))
     return p.selectExpr(
-        "key", "cell", "did", "tie", "(CAST(ln AS bigint) * 4294967296 + size) AS line", "(CAST(pos AS bigint) * 4294967296 + block) AS spot", "b1", "b2"
+        "key", "cell", "did", "tie", "(CAST(ln AS bigint) * 4294967296 + size) AS line", "(CAST(pos AS bigint) * 4294967296 + block) AS spot", *B
     )
 
 
@@ -220,24 +241,25 @@ def _candidates(postings: DataFrame) -> DataFrame:
     def pairs(x: dict[str, np.ndarray], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Indices of later and earlier rows within groups of sorted rows; which rows have more."""
         n = len(x["line"])
-        ends = np.repeat(np.append(starts[1:], n), np.diff(np.append(starts, n)))
+        begins = np.repeat(starts, np.diff(np.append(starts, n)))
         left, later, earlier = np.arange(n), [], []
         named, step = np.zeros(n, np.int64), 0
         size, pos, cell, block = x["line"] & 0xFFFFFFFF, x["spot"] >> 32, x["cell"].astype(np.int64), x["spot"] & 0xFFFFFFFF
-        b1, b2 = x["b1"].view(_U), x["b2"].view(_U)  # counts of set bits are those of unsigned values
+        bits = [x[b].view(_U) for b in B]  # counts of set bits are those of unsigned values
         while True:
-            step += 1
-            left = left[left + step < ends[left]]
+            # each line with the earliest of its group first
+            left = left[(begins[left] + step < left) & (named[left] <= NAMED)]
             if not len(left):
                 break
-            i, j = left, left + step
+            i, j = begins[left] + step, left
+            step += 1
             a, b = size[i], size[j]
             need = (4 * (a + b) + 8) // 9
             ok = (5 * np.minimum(a, b) >= 4 * np.maximum(a, b)) & (1 + np.minimum(a - pos[i], b - pos[j]) - 1 >= need)
             # blocks of one side meet only in the cell of their own
             ok &= (cell[i] // SIDES == cell[i] % SIDES) | (block[i] != block[j])
             i, j, most = i[ok], j[ok], (a + b - 2 * need)[ok]
-            ok = np.bitwise_count(b1[i] ^ b1[j]).astype(np.int64) + np.bitwise_count(b2[i] ^ b2[j]) <= most
+            ok = sum(np.bitwise_count(b[i] ^ b[j]).astype(np.int64) for b in bits) <= most
             i, j = i[ok], j[ok]
             named[j] += 1
             few = named[j] <= NAMED
@@ -246,7 +268,7 @@ def _candidates(postings: DataFrame) -> DataFrame:
         none = np.zeros(0, np.int64)
         return np.concatenate([none, *later]), np.concatenate([none, *earlier]), named > NAMED
 
-    names = ["key", "cell", "did", "tie", "line", "spot", "b1", "b2"]
+    names = ["key", "cell", "did", "tie", "line", "spot", *B]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -319,9 +341,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, classes) -> DataFrame:
                     )
 
     sets = texts.select("did", "tie", "text", hashed.alias("h")).mapInArrow(run, "did bigint, tie bigint, ln int, tokens array<bigint>")
-    sets = written(sets, "sets")
     one, two = ("did", "tie", "ln"), ("did0", "tie0", "ln0")
-    named = sets.select(F.struct(*one).alias("r"), "tokens").dropDuplicates(["r"])
+    # written without the repeats of repeated documents: the joins below have plain inputs, which can be split where they are skewed
+    named = written(sets.select(F.struct(*one).alias("r"), "tokens").groupBy("r").agg(F.max("tokens").alias("tokens")), "sets")
     joined = (
         pairs.select(F.struct(*one).alias("later"), F.struct(*[F.col(c).alias(d) for c, d in zip(two, one)]).alias("earlier"))
         .join(named.select(F.col("r").alias("later"), F.col("tokens").alias("x")), "later")
@@ -342,10 +364,10 @@ def _removed(texts: DataFrame) -> DataFrame:
     equal = written(lines.select("s1", "s2", *ref).join(first, ["s1", "s2"]).where(F.struct(*ref) != F.col("first")).select(*ref), "equal")
     drop_written(lines)
     release(spark)
-    ends = [*ref, *[f"{c}0" for c in ref]]
+    ends, sides = [*ref, *[f"{c}0" for c in ref]], _sides(distinct)
     parts = []
     for i in range(PASSES):
-        parts.append(written(_candidates(_postings(distinct, i)).groupBy(*ends).agg(F.max("more").alias("more")), "part"))
+        parts.append(written(_candidates(_postings(distinct, sides, i)).groupBy(*ends).agg(F.max("more").alias("more")), "part"))
         release(spark)
     every = parts[0]
     for part in parts[1:]:
@@ -357,8 +379,8 @@ def _removed(texts: DataFrame) -> DataFrame:
     # lines that have more candidates than they named, and match none of those: all of theirs
     open_ = written(named.where("more").select(*ref).distinct().join(near, ref, "left_anti"), "open")
     if not open_.isEmpty():
-        mine = written(_postings(distinct.join(open_, ref, "left_semi")), "mine")
-        theirs = _postings(distinct).join(mine.select("key", "cell").distinct(), ["key", "cell"], "left_semi")
+        mine = written(_postings(distinct.join(open_, ref, "left_semi"), sides), "mine")
+        theirs = _postings(distinct, sides).join(mine.select("key", "cell").distinct(), ["key", "cell"], "left_semi")
         theirs = theirs.select("key", "cell", *[F.col(c).alias(f"{c}0") for c in theirs.columns if c not in ("key", "cell")])
         joined = mine.join(theirs, ["key", "cell"])
         for end in ("", "0"):
@@ -370,7 +392,7 @@ def _removed(texts: DataFrame) -> DataFrame:
                 }
             )
         need = F.floor((4 * (F.col("size") + F.col("size0")) + 8) / 9)
-        apart = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}0"))) for b in ("b1", "b2"))
+        apart = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}0"))) for b in B)
         earlier = F.struct(*[F.col(f"{c}0").alias(c) for c in ref]) < F.struct(*ref)
         joined = joined.where(
             earlier
