@@ -204,6 +204,16 @@ def cross_split_near_dup(spark, sf_dir):
     return audit.near_duplicates(sets.where("split = 'train'"), sets.where("split <> 'train'"))
 
 
+@query(
+    f"WITH d AS (SELECT *, doc_id AS id, {SPLIT} AS split FROM documents), "
+    + _near_sql(_sets_sql("(SELECT * FROM d WHERE split = 'validation')", "split"), _sets_sql("(SELECT * FROM d WHERE split = 'blind')", "split"), 0.85)
+)
+def held_out_near_dup(spark, sf_dir):
+    """The third pair of splits, which cross_split_near_dup and its SQL leave out."""
+    sets = audit.prompt_sets(_docs(spark, sf_dir), "doc_id", "text")
+    return audit.near_duplicates(sets.where("split = 'validation'"), sets.where("split = 'blind'"))
+
+
 @query(
     "WITH d AS (SELECT doc_id AS id, text, 'd' AS split FROM documents), b AS (SELECT item_id AS id, text, 'b' AS split FROM benchmark), "
     + _near_sql(_sets_sql("d", "split"), _sets_sql("b", "split"), 0.5)
