@@ -6,18 +6,27 @@ by their neighbourhoods: every one of them stands in the groups of its own value
 a common group exactly if they differ in at most two bits. A group holds at most 65 fingerprints, whatever the data, and only
 a star of links to its least member leaves it.
 
+A larger radius has no such neighbourhoods: the fingerprints of a key are compared by Python workers, all of a small key at
+once, else from each fingerprint found to those not found yet. Pairs or stars leave a key, never more than DENSE links a member.
+
 ``components`` is the alternation of large stars and small stars; each round is a written table, so that a lost executor costs
 a round at most.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_written, written
 
 RADIUS = 2
+#: Members of a key that are compared all at once, links a member above which a key gives stars, comparisons at a time.
+SMALL, DENSE, AT_ONCE = 512, 4, 1 << 20
 
 
 def signed(x: int) -> int:
@@ -25,11 +34,57 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def linked(prints: DataFrame, masks: list[int], col: str = "fp") -> DataFrame:
-    """Links (a, b), a < b, whose components are those of all pairs of fingerprints that differ in at most two bits."""
+def _near(x: np.ndarray, y: np.ndarray, radius: int) -> np.ndarray:
+    return np.bitwise_count((x[:, None] ^ y[None, :]).view(np.uint64)) <= radius
+
+
+def key_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b), a < b, with the components of all pairs of distinct fingerprints (signed longs) within the radius."""
+    left = np.sort(fps)
+    if len(left) <= SMALL:
+        a, b = np.nonzero(np.triu(_near(left, left, radius), 1))
+        if len(a) <= DENSE * len(left):
+            return left[a], left[b]
+    froms, tos = [], []
+    while len(left):
+        seed, left = left[0], left[1:]
+        found = [np.array([seed])]
+        while found and len(left):
+            new = found.pop()
+            n = max(1, AT_ONCE // len(left))
+            if len(new) > n:
+                found.append(new[n:])
+            hit = _near(new[:n], left, radius).any(axis=0)
+            if hit.any():
+                found.append(left[hit])
+                froms.append(np.full(int(hit.sum()), seed))
+                tos.append(left[hit])
+                left = left[~hit]
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *froms]), np.concatenate([none, *tos])
+
+
+def linked(prints: DataFrame, masks: list[int], col: str = "fp", radius: int = RADIUS) -> DataFrame:
+    """Links (a, b), a < b, whose components are those of all pairs of fingerprints that differ in at most ``radius`` bits.
+
+    Some mask must miss all differing bits of any such pair.
+    """
     fps = prints.select(F.col(col).alias("fp"))
     tables = F.array(*[F.struct(F.lit(i).cast("short").alias("t"), F.lit(m).cast("long").alias("m")) for i, m in enumerate(masks)])
     keyed = fps.select("fp", F.explode(tables).alias("x")).select("fp", F.col("x.t").alias("t"), F.col("fp").bitwiseAND(F.col("x.m")).alias("key"))
+    if radius != RADIUS:
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lists = batch.column(0)
+                values, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+                for i, j in zip(at, at[1:]):
+                    a, b = key_links(values[i:j], radius)
+                    if len(a):
+                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        keys = keyed.groupBy("t", "key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+        return keys.select("fps").mapInArrow(compare, "a bigint, b bigint").distinct()
     held = keyed.groupBy("t", "key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
     held = written(held, "buckets")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
@@ -68,7 +123,7 @@ def components(links: DataFrame) -> DataFrame:
     return state.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def grouped(prints: DataFrame, masks: list[int], id_col: str, print_col: str, group_col: str) -> DataFrame:
+def grouped(prints: DataFrame, masks: list[int], id_col: str, print_col: str, group_col: str, radius: int = RADIUS) -> DataFrame:
     """The columns of prints and group_col: the least id reachable over near fingerprints (hexadecimal strings of 64 bits).
 
     Equal fingerprints stand once in the search. Null ids do not name a group unless it has no other.
@@ -76,7 +131,7 @@ def grouped(prints: DataFrame, masks: list[int], id_col: str, print_col: str, gr
     high, low = (F.conv(F.substring(print_col, at, 8), 16, 10).cast("long") for at in (1, 9))
     rows = prints.withColumn("__fp", F.shiftleft(high, 32).bitwiseOR(low))
     fps = written(rows.groupBy("__fp").agg(F.min(id_col).alias("__least")), "distinct")
-    roots = components(linked(fps, masks, "__fp"))
+    roots = components(linked(fps, masks, "__fp", radius))
     known = fps.join(roots.select(F.col("node").alias("__fp"), "root"), "__fp", "left").withColumn("root", F.coalesce("root", "__fp"))
     least = known.groupBy("root").agg(F.min("__least").alias(group_col))
     of = known.join(least, "root").select("__fp", group_col)

@@ -28,6 +28,8 @@ from .common import bounded_batches, map_texts, written
 from .components import grouped, signed
 
 BITS, BLOCK = 64, 1 << 15
+#: Search of the query, from measured distances of near copies (see the README), and the blocks of its tables.
+SEARCH_RADIUS, SEARCH_BLOCKS = 8, 10
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -194,14 +196,14 @@ def block_masks(radius: int, blocks: int) -> list[int]:
     return [signed(sum(chosen)) for chosen in combinations(parts, blocks - radius)]
 
 
-def with_groups(prints: DataFrame, blocks: int = 5, id_col: str = "doc_id") -> DataFrame:
-    """prints, which should be a written table, and group_id: the least id reachable over fingerprints within radius 2.
+def with_groups(prints: DataFrame, blocks: int = 5, id_col: str = "doc_id", radius: int = 2) -> DataFrame:
+    """prints, which should be a written table, and group_id: the least id reachable over fingerprints within the radius.
 
     Near fingerprints are found by permuted block tables.
     """
-    return grouped(prints, block_masks(2, blocks), id_col, "fingerprint", "group_id")
+    return grouped(prints, block_masks(radius, blocks), id_col, "fingerprint", "group_id", radius)
 
 
-def near_groups(docs: DataFrame, blocks: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, blocks: int = 5, id_col: str = "doc_id", text_col: str = "text", radius: int = 2) -> DataFrame:
     """id_col, fingerprint and group_id of every text."""
-    return with_groups(written(fingerprints(docs, id_col, text_col), "prints"), blocks, id_col)
+    return with_groups(written(fingerprints(docs, id_col, text_col), "prints"), blocks, id_col, radius)

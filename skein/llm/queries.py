@@ -69,7 +69,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     distances = written(fingerprints.edit_distances(documents(spark, sf_dir)), "distances")
     release(spark)
-    return fingerprints.with_groups(distances)
+    return fingerprints.with_groups(distances, fingerprints.SEARCH_BLOCKS, radius=fingerprints.SEARCH_RADIUS)
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
