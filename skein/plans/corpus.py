@@ -448,6 +448,48 @@ def delivery_acknowledgement(spark, sf_dir):
     return mix.acknowledged(scheduled, scheduled.where("position < 25"), "doc_id")
 
 
+# The mix over every language of the table, equally weighted, and over all positions of both epochs.
+_WHOLE_SQL = """x AS (SELECT doc_id, lang, strlen(text) + 1 AS t, unnest(range(0, 2)) AS epoch FROM documents WHERE lang IS NOT NULL),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang, epoch ORDER BY sha256('42:' || epoch || ':' || doc_id), doc_id) - 1 AS pos FROM x),
+b AS (SELECT *, coalesce(sum(t) OVER (PARTITION BY lang ORDER BY epoch, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p),
+s AS (SELECT *, row_number() OVER (ORDER BY before / (1 / CAST((SELECT count(DISTINCT lang) FROM documents) AS DOUBLE)), lang, epoch, pos) - 1 AS position FROM b)"""
+
+
+def _whole_schedule(spark, sf_dir):
+    rows = _docs(spark, sf_dir).where("lang IS NOT NULL").select("doc_id", "lang", (BYTES("text") + 1).cast("long").alias("t"))
+    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    return mix.schedule(rows, "lang", "doc_id", "t", {g: 1 / len(langs) for g in langs}, 42, 2), rows
+
+
+@query(f"WITH {_WHOLE_SQL} SELECT position, doc_id, lang, epoch::INT AS epoch, before::BIGINT AS before FROM s")
+def mix_schedule_whole(spark, sf_dir):
+    return _whole_schedule(spark, sf_dir)[0].select("position", "doc_id", "lang", "epoch", "before")
+
+
+@query(
+    f"""WITH {_WHOLE_SQL}, pool AS (SELECT lang, count(*) AS pool FROM documents WHERE lang IS NOT NULL GROUP BY lang),
+g AS (SELECT lang, sum(t)::BIGINT AS tokens, count(*) AS presentations, any_value(pool) AS pool FROM s JOIN pool USING (lang) GROUP BY lang)
+SELECT lang, tokens, tokens / CAST(sum(tokens) OVER () AS DOUBLE) AS fraction, presentations, least(presentations, pool) AS unique_rows,
+presentations - least(presentations, pool) AS reused_presentations FROM g"""
+)
+def mix_report_whole(spark, sf_dir):
+    return mix.report(*_whole_schedule(spark, sf_dir), "lang", "t")
+
+
+@query(
+    f"""WITH {_WHOLE_SQL}, q AS (SELECT lang, sum(t)::BIGINT AS t, max(t) AS m FROM s GROUP BY lang)
+SELECT max(t) - min(t) AS imbalance, max(m) AS most_row_tokens, max(t) - min(t) <= max(m) AS balanced FROM q"""
+)
+def mix_imbalance_whole(spark, sf_dir):
+    return mix.imbalance(_whole_schedule(spark, sf_dir)[0], "lang", "t")
+
+
+@query("SELECT 2 * count(*) AS rows, true AS is_prefix, 2 * count(*) AS resume_at FROM documents WHERE lang IS NOT NULL")
+def delivery_acknowledgement_whole(spark, sf_dir):
+    scheduled = _whole_schedule(spark, sf_dir)[0].select("position", "doc_id")
+    return mix.acknowledged(scheduled, scheduled, "doc_id")
+
+
 @query("SELECT '' AS lang, 0::INT AS epoch, '' AS reason WHERE false")
 def schedule_state_audit(spark, sf_dir):
     rows = _docs(spark, sf_dir).select("doc_id", "lang")
