@@ -377,9 +377,12 @@ def _removed(texts: DataFrame) -> DataFrame:
         drop_written(part)
     near = written(_verified(named, texts, classes).distinct(), "near")
     # lines that have more candidates than they named, and match none of those: all of theirs
-    open_ = written(named.where("more").select(*ref).distinct().join(near, ref, "left_anti"), "open")
+    # (by one struct, which a null id does not keep from matching)
+    found = near.select(F.struct(*ref).alias("r"))
+    open_ = written(named.where("more").select(F.struct(*ref).alias("r")).distinct().join(found, "r", "left_anti"), "open")
     if not open_.isEmpty():
-        mine = written(_postings(distinct.join(open_, ref, "left_semi"), sides), "mine")
+        held = distinct.withColumn("r", F.struct(*ref)).join(open_, "r", "left_semi").drop("r")
+        mine = written(_postings(held, sides), "mine")
         theirs = _postings(distinct, sides).join(mine.select("key", "cell").distinct(), ["key", "cell"], "left_semi")
         theirs = theirs.select("key", "cell", *[F.col(c).alias(f"{c}0") for c in theirs.columns if c not in ("key", "cell")])
         joined = mine.join(theirs, ["key", "cell"])
