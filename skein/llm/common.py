@@ -71,10 +71,23 @@ def map_texts(
     return kept.mapInArrow(run, out)
 
 
+def fresh(names: list[str], *wanted: str) -> list[str]:
+    """Names of helper columns that none of ``names`` has, whatever its case."""
+    taken, out = {n.lower() for n in names}, []
+    for name in wanted:
+        name = f"__{name}"
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``; a local default only where it is unset."""
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``; a local default in local mode only."""
     d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = "/tmp/checkpoints/skein"
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")

@@ -5,17 +5,21 @@ another token. A line goes if an earlier line, kept or not, has a Jaccard simila
 (null first), then a hash of the text, then the line's number. Lines without words stay.
 
 1. Word counts of the whole corpus, in hashed buckets of a fixed number, give every token a class of rarity.
-2. Lines of equal token sets are one line, the earliest; the others go.
+2. Lines of equal token sets are one line, the earliest; the others go. Tasks combine theirs before the shuffle.
 3. Prefix filter: a line's tokens are ordered by rarity; two lines that match share a token within their first
-   n - ceil(0.8 n) + 1. These tokens are dealt out by token; a token that may be frequent is dealt to a grid of cells, of which
-   each pair of lines meets in one.
+   n - ceil(0.8 n) + 1. These tokens are dealt out by token, in parts one after the other, so that their shuffle takes that share
+   of the disk; a token that many lines have is dealt to a grid of cells, of which each pair of lines meets in one.
 4. Within a token, pairs pass the length filter, the positional filter and a filter by parity bits of both token sets (their
-   difference is at least that of the bits). A line names a few of its candidates, the earliest ones; lines that have more and match none of
-   those go through a join with all of theirs, so that families of near copies are not paired with each other.
+   difference is at least that of the bits). A line names a few of its candidates, the earliest ones; lines that have more and
+   match none of those go through a join with all of theirs, so that families of near copies are not paired with each other.
 5. Candidates are verified on their token sets. What is compared is 64-bit hashes of tokens.
 
+Lines and tokens are shuffled as blocks: a row holds the packed columns of all that a task has for one bucket.
+
 Defined cases: a null text stays null, and a null or empty text has nothing to remove; rows of equal id and text are one
-document and get equal results; other columns are kept as they are; an empty table gives an empty table.
+document and get equal results; ids that are no whole numbers are ordered by a hash; a text or line of any length is read whole,
+by one task; other columns are kept as they are, whatever their names, but those named in ``counts`` must be new; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,26 +30,41 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import bounded_batches, drop_written, release, rounds, written
+from .common import bounded_batches, drop_written, fresh, release, rounds, written
 
 #: Buckets of word counts, as a power of two.
-COUNT_BITS = 18
-#: Bits of the filters of documents and of lines that are candidates, as powers of two.
-DOC_BITS, LINE_BITS = 22, 24
-#: Lines of one cell of a token, about; cells of a side of the grid at most; candidates that a line names per token.
-CELL, SIDES, NAMED = 20_000, 64, 4
+COUNT_BITS = 20
+#: Lines of one cell of a token, about (more where over MOST_HOT tokens had more); candidates that a line names per token.
+CELL, NAMED = 20_000, 4
+#: Tokens that are dealt to several cells at most.
+MOST_HOT = 1 << 20
 #: 64-bit words of the parity bitmap of a line's tokens: long lines need long bitmaps to be told apart.
 BITMAP = 4
 B = [f"b{i + 1}" for i in range(BITMAP)]
-#: Parts of the tokens that are dealt out one after the other, so that their shuffle takes that share of the disk.
-PASSES = 6
+#: Tokens of a line up to which one word, and two words of the bitmap are enough.
+ONE_WORD, TWO_WORDS = 24, 64
+#: Lines with fewer tokens match equal token sets only.
+LEAST = 4
+#: Parts of the tokens that are dealt out one after the other.
+PASSES = 4
+#: Lines, and tokens, of a bucket, about; what a worker holds before it writes blocks.
+BUCKET_LINES, BUCKET_TOKENS, HELD_LINES, HELD_TOKENS = 1 << 15, 1 << 17, 1 << 17, 1 << 20
+#: Most bits of a filter of candidates, as a power of two; filters grow with the candidates up to here.
+FILTER_BITS = 27
+OUT_ROWS = 20_000
+#: Characters of texts that are cut into words at a time (or one text): their arrays should fit a core's cache.
+ROUND = 1 << 18
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C55
 _STRIDE = 2_654_435_761
+#: Masks of the first 0 to 8 bytes of a little-endian number.
+_HEADS = np.array([(1 << 8 * n) - 1 for n in range(9)], _U)
+REF = ["did", "tie", "ln"]
 
 
 def _mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -55,24 +74,31 @@ def _mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
     return h ^ (h >> _U(32))
 
 
-_powers = np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(255, _BASE, _U)]))
-
-
 def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and 64-bit hash of every word in an array of bytes."""
-    global _powers
-    inside = ~_SPACE[data]
-    edge = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    """Start and 64-bit hash of every word in an array of bytes: eight bytes at a time of all words that have as many."""
+    inside = np.zeros(len(data) + 2, bool)
+    np.logical_not(_SPACE[data], out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, size = edges[0::2], edges[1::2] - edges[0::2]
     if not len(starts):
         return starts, np.zeros(0, _U)
-    size = ends - starts
-    if size.max() > len(_powers):
-        _powers = np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(int(size.max()), _BASE, _U)]))
-    first = np.cumsum(size) - size
-    letters = data[inside].astype(_U) + _U(1)
-    letters *= _powers[np.arange(len(letters)) - np.repeat(first, size)]
-    return starts, _mix(np.add.reduceat(letters, first) + size.astype(_U))
+    eights = np.ndarray(len(data), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]).data, strides=(1,))
+    h = _mix(_HEADS[np.minimum(size, 8)] & eights[starts], 1) + size.astype(_U)
+    rest, at = np.flatnonzero(size > 8), 8
+    while len(rest):
+        h[rest] = _mix((h[rest] * _U(_BASE)) ^ (_HEADS[np.minimum(size[rest] - at, 8)] & eights[starts[rest] + at]), 1)
+        at += 8
+        rest = rest[size[rest] > at]
+    return starts, _mix(h, 2)
+
+
+def _prefix_length(size: np.ndarray) -> np.ndarray:
+    return np.where(size < LEAST, 0, size - (4 * size + 4) // 5 + 1)
+
+
+def _words_of(size: np.ndarray) -> np.ndarray:
+    """Words of the bitmap that a line of this size has."""
+    return np.where(size <= ONE_WORD, 1, np.where(size <= TWO_WORDS, 2, BITMAP))
 
 
 class Lines:
@@ -88,15 +114,13 @@ class Lines:
             order = np.argsort((line.astype(_U) << _U(44)) | (rare << _U(36)) | (h >> _U(28)))
         else:
             order = np.lexsort(((rare << _U(36)) | (h >> _U(28)), line))
-        line, h, rare = line[order], h[order], rare[order]
+        line, h = line[order], h[order]
         n = len(h)
         at = np.arange(n)
         again = np.zeros(n, bool)
         again[1:] = (line[1:] == line[:-1]) & (h[1:] == h[:-1])
         times = (at - np.maximum.accumulate(np.where(again, 0, at))).astype(_U)
         self.token = np.where(again, _mix(h + times * _U(0xD6E8FEB86659FD93)), h)
-        #: Identity of a token that also tells its class.
-        self.key = (rare << _U(56)) | (self.token >> _U(8))
         new = np.ones(n, bool)
         new[1:] = line[1:] != line[:-1]
         self.first = np.flatnonzero(new)
@@ -111,316 +135,557 @@ class Lines:
     def sums(self, salt: int) -> np.ndarray:
         return np.add.reduceat(_mix(self.token, salt), self.first).view(np.int64)
 
-    def parity(self, word: int) -> np.ndarray:
-        """One of the BITMAP words of a bitmap: how often the tokens of each bit occur, modulo two."""
-        bit = np.where((self.token >> _U(50)) % _U(BITMAP) == word, _U(1) << (self.token >> _U(58)), _U(0))
-        return np.bitwise_xor.reduceat(bit, self.first).view(np.int64)
+    def bitmap(self) -> np.ndarray:
+        """Words of how often the tokens of each bit occur, modulo two, lines one after the other; see _words_of."""
+        words, bit = _words_of(self.size), _U(1) << (self.token >> _U(58))
+        place = ((self.token >> _U(50)) & (np.repeat(words, self.size) - 1).astype(_U)).astype(np.int64)
+        parts = [np.bitwise_xor.reduceat(np.where(place == w, bit, _U(0)), self.first) for w in range(BITMAP)]
+        return np.stack(parts, axis=1)[np.arange(BITMAP) < words[:, None]]
 
-    def prefixes(self) -> pa.ListArray:
-        """The keys of each line's rarest tokens."""
-        most = self.size - (4 * self.size + 4) // 5 + 1
+    def prefixes(self) -> np.ndarray:
+        """Keys (32 bits: tokens may share one, which costs comparisons only) of each line's rarest tokens, line after line."""
         place = np.arange(len(self.token)) - np.repeat(self.first, self.size)
-        taken = place < np.repeat(most, self.size)
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(most)]), pa.int32()), pa.array(self.key[taken].view(np.int64)))
+        return (self.token[place < np.repeat(_prefix_length(self.size), self.size)] >> _U(32)).astype(np.uint32)
 
     def tokens(self) -> pa.ListArray:
         return pa.ListArray.from_arrays(pa.array(np.append(self.first, len(self.token)), pa.int32()), pa.array(self.token.view(np.int64)))
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """docs with __did and __tie, which tell documents apart: a hash of the text is needed only where ids repeat."""
-    did, tie = F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{text_col}`"))
+def _pack(columns: dict[str, np.ndarray]) -> bytes:
+    """The columns' lengths and values; values in low and high halves, so that the zeros of small numbers stand together."""
+    out = [np.array([len(c) for c in columns.values()], "<i8").tobytes()]
+    for c in columns.values():
+        halves = np.ascontiguousarray(c).view(f"<u{max(1, c.itemsize // 2)}")
+        out += [halves.tobytes()] if c.itemsize == 1 else [halves[0::2].tobytes(), halves[1::2].tobytes()]
+    return b"".join(out)
+
+
+def _unpack(data: bytes, kinds: dict[str, type]) -> dict[str, np.ndarray]:
+    sizes, at, out = np.frombuffer(data, "<i8", len(kinds)), 8 * len(kinds), {}
+    for (name, kind), n in zip(kinds.items(), sizes.tolist()):
+        wide = np.dtype(kind).itemsize
+        if wide == 1:
+            out[name] = np.frombuffer(data, kind, n, at)
+        else:
+            halves = np.empty((n, 2), f"<u{wide // 2}")
+            halves[:, 0] = np.frombuffer(data, halves.dtype, n, at)
+            halves[:, 1] = np.frombuffer(data, halves.dtype, n, at + n * wide // 2)
+            out[name] = halves.reshape(-1).view(kind)
+        at += n * wide
+    return out
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places first .. first + size - 1 of each, one after the other."""
+    return np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+
+
+#: What a line is known by, and has: known is 0 where the document's id is null.
+_LINE = {"s1": np.int64, "s2": np.int64, "known": np.uint8, "did": np.int64, "tie": np.int64, "ln": np.int32, "size": np.int32}
+_LINES = _LINE | {"bits": np.uint64, "keys": np.uint32}
+
+
+def _lines_at(x: dict[str, np.ndarray], at: np.ndarray) -> dict[str, np.ndarray]:
+    """The lines of these places."""
+    out = {}
+    for many, of in (("bits", _words_of), ("keys", _prefix_length)):
+        n = of(x["size"])
+        out[many] = x[many][_ranges((np.cumsum(n) - n)[at], n[at])]
+    return {c: x[c][at] for c in _LINE} | out
+
+
+def _joined(held: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return {c: np.concatenate([x[c] for x in held]) for c in held[0]}
+
+
+def _earliest(x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the earliest line of each token set, and of the others, without those of repeated rows."""
+    order = np.lexsort((x["ln"], x["tie"], x["did"], x["known"], x["s2"], x["s1"]))
+    step = {c: np.concatenate([[True], x[c][order][1:] != x[c][order][:-1]])[: len(order)] for c in ("s1", "s2", "known", "did", "tie", "ln")}
+    new = step["s1"] | step["s2"]
+    other = ~new & (step["known"] | step["did"] | step["tie"] | step["ln"])
+    return order[new], order[other]
+
+
+def _dealt(x: dict[str, np.ndarray], bucket: np.ndarray, cut) -> Iterator[tuple[int, bytes]]:
+    """(bucket, block) of all buckets that have rows; ``cut`` takes the rows of some places."""
+    order = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    for a, b in zip(edges, np.append(edges[1:], len(order))):
+        yield int(bucket[order[a]]), _pack(cut(x, order[a:b]))
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str, did_col: str, tie_col: str) -> DataFrame:
+    """docs with two columns that tell documents apart: a hash of the text is needed only where ids repeat."""
+    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
+    did = F.col(f"`{id_col}`")
+    did = did.cast("long") if whole else F.when(did.isNotNull(), F.xxhash64(did.cast("string")))
+    tie = F.xxhash64(F.col(f"`{text_col}`"))
     ids = docs.select(did.alias("did"), tie.alias("tie")).groupBy("did").agg((F.min("tie") != F.max("tie")).alias("differ"))
     unique = ids.where("differ").isEmpty()
-    return docs.withColumn("__did", did).withColumn("__tie", F.lit(0).cast("long") if unique else tie)
+    return docs.withColumns({did_col: did, tie_col: F.lit(0).cast("long") if unique else tie})
 
 
-def rarity(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Classes of rarity (0: no word; a step is an eighth of a power of two) by hashed bucket, counted over the whole corpus."""
+def rarity(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
+    """Classes of rarity (0: no word; a step is an eighth of a power of two) by hashed bucket, and the number of lines, of all docs."""
     bounded_batches(docs.sparkSession)
+    names, wide = ["slice", "counts", "n_lines"], 1 << COUNT_BITS - 6
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNT_BITS, np.int64)
+        total, n_lines = np.zeros(1 << COUNT_BITS, np.int64), 0
         for batch in batches:
             texts = [t for t in batch.column(0).to_pylist() if t is not None]
-            for a, b in rounds(texts):
-                _, h = _word_hashes(np.frombuffer("\n".join(texts[a:b]).encode(), np.uint8))
-                total += np.bincount((h >> _U(64 - COUNT_BITS)).astype(np.int64), minlength=len(total))
-        held = np.flatnonzero(total)
-        for i in range(0, len(held), 1 << 16):
-            part = held[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["bucket", "n"])
-
-    rows = docs.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(count, "bucket bigint, n bigint")
-    # at most 2 ** COUNT_BITS rows, whatever the corpus
-    table = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << COUNT_BITS, np.int64)
-    counts[table["bucket"].to_numpy()] = table["n"].to_numpy()
-    return np.minimum(255, np.ceil(8 * np.log2(counts + 1.0))).astype(np.uint8)
-
-
-_LINE = f"did bigint, tie bigint, ln int, s1 bigint, s2 bigint, size int, {', '.join(f'{b} bigint' for b in B)}, prefix array<bigint>"
-
-
-def _line_table(texts: DataFrame, classes) -> DataFrame:
-    """A row per line with words; of equal lines that a worker meets in one round, one carries the prefix."""
+            for a, b in rounds(texts, ROUND):
+                data = np.frombuffer("\n".join(texts[a:b]).encode(), np.uint8)
+                n_lines += int(np.count_nonzero(data == 10)) + 1
+                _, h = _word_hashes(data)
+                np.add.at(total, (h >> _U(64 - COUNT_BITS)).astype(np.int64), 1)
+        if n_lines:
+            slices = [_pack({"n": total[k * wide : (k + 1) * wide]}) for k in range(64)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int64()), pa.array(slices, pa.binary()), pa.array([n_lines] + [0] * 63, pa.int64())], names)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, list] = {}
+        for batch in batches:
+            for k, block, n in zip(*(c.to_pylist() for c in batch.columns)):
+                held = total.setdefault(k, [np.zeros(wide, np.int64), 0])
+                held[0] += _unpack(block, {"n": np.int64})["n"]
+                held[1] += n
+        for k, (counts, n) in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([counts.tobytes()], pa.binary()), pa.array([n], pa.int64())], names)
+
+    kind = "slice bigint, counts binary, n_lines bigint"
+    rows = docs.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(count, kind)
+    # 64 rows of 2 ** COUNT_BITS counts together, whatever the corpus
+    table = rows.repartition("slice").mapInArrow(add, kind).toArrow()
+    counts, n_lines = np.zeros(1 << COUNT_BITS, np.int64), 0
+    for k, block, n in zip(*(c.to_pylist() for c in table.columns)):
+        counts[k * wide : (k + 1) * wide] = np.frombuffer(block, np.int64)
+        n_lines += n
+    return np.minimum(255, np.ceil(8 * np.log2(counts + 1.0))).astype(np.uint8), n_lines
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple[int, bytes]]]]:
+    """Rows (bucket, kind, block) that are sorted by bucket, as (kind, block) pairs by bucket."""
+    import itertools
+
+    rows = ((b, k, block) for batch in batches for b, k, block in zip(*(c.to_pylist() for c in batch.columns)))
+    for bucket, some in itertools.groupby(rows, key=lambda r: r[0]):
+        yield bucket, ((k, block) for _, k, block in some)
+
+
+def _shuffled(blocks: DataFrame) -> DataFrame:
+    return blocks.repartition("bucket").sortWithinPartitions("bucket")
+
+
+def _line_table(texts: DataFrame, classes, n_lines: int) -> DataFrame:
+    """A row per line with words that is the earliest of its token set, with its prefix, and one without for each that goes."""
+    buckets = max(1, n_lines // BUCKET_LINES)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            x = _joined(held)
+            first, other = _earliest(x)
+            kept, gone = _lines_at(x, first), {c: x[c][other] for c in _LINE}
+            rows = [(b, 0, block) for b, block in _dealt(kept, (kept["s1"].view(_U) % _U(buckets)).astype(np.int64), _lines_at)]
+            spread = (_mix(gone["did"].view(_U), 7) % _U(buckets)).astype(np.int64)
+            rows += [(b, 1, block) for b, block in _dealt(gone, spread, lambda y, at: {c: y[c][at] for c in _LINE})]
+            for row in rows:
+                yield pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int64()), pa.array([row[1]], pa.int32()), pa.array([row[2]], pa.binary())], ["bucket", "kind", "block"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            known = batch.column(0).is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)
+            did, tie = batch.column(0).fill_null(0).to_numpy(), batch.column(1).to_numpy()
             body = batch.column(2).to_pylist()
-            for a, b in rounds(body):
+            for a, b in rounds(body, ROUND):
                 x = Lines(body[a:b], classes.value)
                 if not len(x.first):
                     continue
-                which = pa.array(x.text + a)
-                s1 = x.sums(1)
-                _, once = np.unique(s1, return_index=True)
-                bare = np.ones(len(s1), bool)
-                bare[once] = False
-                prefix = x.prefixes()
-                prefix = pa.ListArray.from_arrays(prefix.offsets, prefix.values, mask=pa.array(bare))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(which), batch.column(1).take(which), pa.array(x.number, pa.int32()), pa.array(s1), pa.array(x.sums(2))]
-                    + [pa.array(x.size, pa.int32()), *(pa.array(x.parity(w)) for w in range(BITMAP)), prefix],
-                    [f.split()[0] for f in _LINE.split(", ")],
-                )
-
-    return texts.mapInArrow(run, _LINE)
-
-
-def _distinct(lines: DataFrame) -> DataFrame:
-    """Lines of different token sets, each as its earliest occurrence."""
-    rows = lines.groupBy("s1", "s2").agg(
-        F.min(F.struct("did", "tie", "ln")).alias("ref"), F.max(F.struct("size", *B)).alias("set"), F.max("prefix").alias("prefix")
-    )
-    return rows.select("s1", "s2", "ref.*", "set.*", "prefix")
+                at = x.text + a
+                held.append(
+                    {"s1": x.sums(1), "s2": x.sums(2), "known": known[at], "did": did[at], "tie": tie[at], "ln": x.number.astype(np.int32),
+                     "size": x.size.astype(np.int32), "bits": x.bitmap(), "keys": x.prefixes()}
+                )
+                n += len(x.first)
+                if n >= HELD_LINES:
+                    yield from flush()
+                    held, n = [], 0
+        if held:
+            yield from flush()
+
+    names = [*REF, "size", *B, "prefix"]
+
+    def rows(x: dict[str, np.ndarray], whole: bool) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(x["did"]), OUT_ROWS):
+            part = _lines_at(x, np.arange(i, min(i + OUT_ROWS, len(x["did"])))) if whole else {c: x[c][i : i + OUT_ROWS] for c in _LINE}
+            m = len(part["did"])
+            columns = [pa.array(part["did"], pa.int64(), mask=part["known"] == 0), *(pa.array(part[c]) for c in ("tie", "ln", "size"))]
+            bits = np.zeros((m, BITMAP), _U)
+            if whole:
+                bits[np.arange(BITMAP) < _words_of(part["size"])[:, None]] = part["bits"]
+                ends = np.concatenate([[0], np.cumsum(4 * _prefix_length(part["size"]))]).astype(np.int32)
+                prefix = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(ends), pa.py_buffer(part["keys"].tobytes())])
+            else:
+                prefix = pa.nulls(m, pa.binary())
+            columns += [pa.array(bits[:, w].copy().view(np.int64)) for w in range(BITMAP)]
+            yield pa.RecordBatch.from_arrays([*columns, prefix], names)
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, blocks in _by_bucket(batches):
+            held, n = [], 0
+            for kind, block in blocks:
+                x = _unpack(block, _LINE if kind else _LINES)
+                if kind:
+                    yield from rows(x, False)
+                    continue
+                held.append(x)
+                n += len(x["did"])
+                if len(held) > 1 and n - len(held[0]["did"]) >= HELD_LINES:
+                    x = _joined(held)
+                    first, other = _earliest(x)
+                    yield from rows({c: x[c][other] for c in _LINE}, False)
+                    held, n = [_lines_at(x, first)], len(first)
+            if held:
+                x = _joined(held)
+                first, other = _earliest(x)
+                yield from rows({c: x[c][other] for c in _LINE}, False)
+                yield from rows(_lines_at(x, first), True)
 
+    blocks = texts.mapInArrow(deal, "bucket bigint, kind int, block binary")
+    return _shuffled(blocks).mapInArrow(combine, f"did bigint, tie bigint, ln int, size int, {', '.join(f'{b} bigint' for b in B)}, prefix binary")
 
-def _slot(key: Column) -> Column:
-    """Hashed bucket of a token's key."""
-    return F.shiftrightunsigned(key, 38).bitwiseAND((1 << COUNT_BITS) - 1)
 
+def _prefix_keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of an array of prefixes, and how many each has."""
+    size = pa.compute.binary_length(column).to_numpy().astype(np.int64) // 4
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32), size
 
-def _sides(distinct: DataFrame) -> DataFrame:
-    """(slot, sides) of the buckets of tokens that many prefixes hold: how finely to deal them; at most 2 ** COUNT_BITS rows.
 
-    A bucket's count less twice the mean of all buckets is what a frequent token of it can have, about.
+def _hot(distinct: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """How many tokens all prefixes hold, and the keys of those that many prefixes hold with the sides of their grids.
+
+    Workers report keys that they meet a quarter as often as a key of CELL lines is met on average; at most MOST_HOT come here.
     """
-    counts = distinct.select(F.explode("prefix").alias("key")).groupBy(_slot(F.col("key")).alias("slot")).agg(F.count("*").alias("n"))
-    mean = (distinct.agg(F.sum(F.size("prefix"))).first()[0] or 0) / (1 << COUNT_BITS)
-    sides = F.least(F.lit(SIDES), F.ceil((F.col("n") - 2 * mean) / CELL)).cast("int")
-    return written(counts.where(F.col("n") > CELL).select("slot", sides.alias("sides")).where("sides > 1"), "sides")
+    total = distinct.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
+    total //= 4
+    cell = max(CELL, total // MOST_HOT)
+    tasks = max(1, distinct.rdd.getNumPartitions(), total // HELD_TOKENS)
+    least = max(1, cell // (4 * tasks))
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
 
-def _postings(distinct: DataFrame, sides: DataFrame, part: int | None = None) -> DataFrame:
-    """(key, cell, did, tie, line, spot and B) of the prefix tokens of every distinct line.
+        def flush() -> pa.RecordBatch:
+            keys, times = np.unique(np.concatenate(held), return_counts=True)
+            often = times >= least
+            return pa.RecordBatch.from_arrays([pa.array(keys[often].astype(np.int64)), pa.array(times[often].astype(np.int64))], ["key", "n"])
 
-    line holds the line's number and its size, spot the token's position and the line's block, in 32 bits each. With ``part``,
-    only that part of the tokens. A token of ``sides`` has a grid of sides ** 2 / 2 cells: a line goes to those of its block.
+        for batch in batches:
+            held.append(_prefix_keys(batch.column(0))[0])
+            n += len(held[-1])
+            if n >= HELD_TOKENS:
+                yield flush()
+                held, n = [], 0
+        if n:
+            yield flush()
+
+    if total <= cell:
+        return total, np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    counts = distinct.select("prefix").mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    table = counts.where(F.col("n") > cell).orderBy("key").toArrow()
+    return total, table["key"].to_numpy().astype(np.uint32), -(-table["n"].to_numpy() // cell)
+
+
+_TOKENS = {
+    "key": np.uint32, "cell": np.int64, "open": np.uint8, "known": np.uint8, "did": np.int64, "tie": np.int64, "ln": np.int32, "size": np.int32, "pos": np.int32,
+    "side": np.int32, "bits": np.uint64,
+}
+
+
+def _tokens_at(x: dict[str, np.ndarray], at: np.ndarray) -> dict[str, np.ndarray]:
+    n = _words_of(x["size"])
+    return {c: x[c][at] for c in _TOKENS if c != "bits"} | {"bits": x["bits"][_ranges((np.cumsum(n) - n)[at], n[at])]}
+
+
+def _slot() -> Column:
+    """A hash of a line's REF."""
+    return F.xxhash64("did", "tie").bitwiseXOR(F.col("ln").cast("long") * _STRIDE)
+
+
+def _token_blocks(distinct: DataFrame, hot, buckets: int, part: tuple[int, int] = (0, 1), only: tuple | None = None) -> DataFrame:
+    """Blocks of the prefix tokens of every distinct line; with ``part`` (k, n), of the k-th of n parts of them.
+
+    A hot token has a grid of sides ** 2 / 2 cells: a line goes to those of its side. ``only`` holds bitmaps of the lines whose
+    candidates are searched, by _slot, and of their keys; other keys are left out.
     """
-    p = distinct.select("did", "tie", "ln", "size", *B, F.posexplode("prefix").alias("pos", "key"))
-    if part is not None:
-        p = p.where(F.pmod("key", F.lit(PASSES)) == part)
-    if sides.isEmpty():
-        p = p.withColumns({"block": F.lit(0), "cell": F.lit(0)})
-    else:
-        # at most 2 ** COUNT_BITS rows
-        p = p.withColumn("slot", _slot(F.col("key"))).join(F.broadcast(sides), "slot", "left").withColumn("sides", F.coalesce("sides", F.lit(1)))
-        block = F.when(F.col("sides") == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("did", "tie", "ln"), F.col("sides")).cast("int"))
-        p = p.withColumn("block", block)
-        cells = F.transform(F.sequence(F.lit(0), F.col("sides") - 1), lambda o: F.least(F.col("block"), o) * SIDES + F.greatest(F.col("block"), o))
-        p = p.withColumn("cell", F.explode(F.when(F.col("sides") == 1, F.array(F.lit(0))).otherwise(cells)))
-    return p.selectExpr(
-        "key", "cell", "did", "tie", "(CAST(ln AS bigint) * 4294967296 + size) AS line", "(CAST(pos AS bigint) * 4294967296 + block) AS spot", *B
-    )
+    taken, parts = part
+
+    def tokens(batch: pa.RecordBatch) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        hot_keys, hot_sides = hot.value
+        key, many = _prefix_keys(batch.column(4 + BITMAP))
+        row = np.repeat(np.arange(batch.num_rows), many)
+        known = batch.column(0).is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)
+        did, tie, ln, size = batch.column(0).fill_null(0).to_numpy(), *(batch.column(i).to_numpy() for i in (1, 2, 3))
+        pos = _ranges(np.zeros(len(many), np.int64), many)
+        searched = np.ones(batch.num_rows, np.uint8)
+        if only:
+            searched = _in_bitmap(only[0].value, batch.column(5 + BITMAP).to_numpy()).astype(np.uint8)
+            hit = _in_bitmap(only[1].value, _key_slots(key))
+            key, row, pos = key[hit], row[hit], pos[hit]
+        cell, side = np.zeros(len(key), np.int64), np.zeros(len(key), np.int32)
+        if len(hot_keys):
+            at = np.minimum(np.searchsorted(hot_keys, key), len(hot_keys) - 1)
+            sides = np.where(hot_keys[at] == key, hot_sides[at], 1)
+            whose = _mix(did.view(_U) + _mix(tie.view(_U) + ln.astype(_U), 3), 5)
+            side = (whose[row] % sides.astype(_U)).astype(np.int32)
+            again = np.repeat(np.arange(len(key)), sides)
+            other = _ranges(np.zeros(len(key), np.int64), sides)
+            key, row, pos, side = key[again], row[again], pos[again], side[again]
+            cell = (np.minimum(side, other) << 32) | np.maximum(side, other)
+        bucket = (_mix((key.astype(_U) << _U(32)) ^ cell.view(_U), 9) % _U(parts * buckets)).astype(np.int64)
+        mine = np.flatnonzero(bucket // buckets == taken)
+        row = row[mine]
+        words = _words_of(size)
+        bits = np.stack([batch.column(4 + w).to_numpy() for w in range(BITMAP)], axis=1).view(_U)[row]
+        x = {"key": key[mine], "cell": cell[mine], "open": searched[row], "known": known[row], "did": did[row], "tie": tie[row], "ln": ln[row], "size": size[row],
+             "pos": pos[mine].astype(np.int32), "side": side[mine], "bits": bits[np.arange(BITMAP) < words[row][:, None]]}
+        return x, bucket[mine]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            x = _joined([h[0] for h in held])
+            for b, block in _dealt(x, np.concatenate([h[1] for h in held]), _tokens_at):
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([0], pa.int32()), pa.array([block], pa.binary())], ["bucket", "kind", "block"])
+
+        for batch in batches:
+            held.append(tokens(batch))
+            n += len(held[-1][1])
+            if n >= HELD_TOKENS:
+                yield from flush()
+                held, n = [], 0
+        if n:
+            yield from flush()
+
+    columns = [*REF, "size", *B, "prefix", *[_slot().alias("slot")] * bool(only)]
+    return distinct.select(*columns).mapInArrow(deal, "bucket bigint, kind int, block binary")
 
 
-def _candidates(postings: DataFrame) -> DataFrame:
-    """(later, earlier, more): candidates that a line names, and whether it has more of them under some token."""
-
-    def pairs(x: dict[str, np.ndarray], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Indices of later and earlier rows within groups of sorted rows; which rows have more."""
-        n = len(x["line"])
-        begins = np.repeat(starts, np.diff(np.append(starts, n)))
-        left, later, earlier = np.arange(n), [], []
-        named, step = np.zeros(n, np.int64), 0
-        size, pos, cell, block = x["line"] & 0xFFFFFFFF, x["spot"] >> 32, x["cell"].astype(np.int64), x["spot"] & 0xFFFFFFFF
-        bits = [x[b].view(_U) for b in B]  # counts of set bits are those of unsigned values
-        while True:
-            # each line with the earliest of its group first
-            left = left[(begins[left] + step < left) & (named[left] <= NAMED)]
-            if not len(left):
-                break
-            i, j = begins[left] + step, left
-            step += 1
-            a, b = size[i], size[j]
-            need = (4 * (a + b) + 8) // 9
-            ok = (5 * np.minimum(a, b) >= 4 * np.maximum(a, b)) & (1 + np.minimum(a - pos[i], b - pos[j]) - 1 >= need)
-            # blocks of one side meet only in the cell of their own
-            ok &= (cell[i] // SIDES == cell[i] % SIDES) | (block[i] != block[j])
-            i, j, most = i[ok], j[ok], (a + b - 2 * need)[ok]
-            ok = sum(np.bitwise_count(b[i] ^ b[j]).astype(np.int64) for b in bits) <= most
-            i, j = i[ok], j[ok]
-            named[j] += 1
-            few = named[j] <= NAMED
-            later.append(j[few])
-            earlier.append(i[few])
-        none = np.zeros(0, np.int64)
-        return np.concatenate([none, *later]), np.concatenate([none, *earlier]), named > NAMED
-
-    names = ["key", "cell", "did", "tie", "line", "spot", *B]
+def _pairs(x: dict[str, np.ndarray], named: np.ndarray, most_named: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of later and earlier rows that pass the filters, of rows in order of key, cell and line.
+
+    Later rows are open ones. ``named`` counts a row's candidates; with ``most_named``, a row that has more is not searched on.
+    """
+    n = len(x["key"])
+    new = np.ones(n, bool)
+    new[1:] = (x["key"][1:] != x["key"][:-1]) | (x["cell"][1:] != x["cell"][:-1])
+    starts = np.flatnonzero(new)
+    begins = np.repeat(starts, np.diff(np.append(starts, n)))
+    size, pos, cell, side = x["size"].astype(np.int64), x["pos"], x["cell"], x["side"]
+    inner = cell >> 32 == cell & 0xFFFFFFFF
+    words = _words_of(size)
+    wide = np.zeros((n, BITMAP), _U)
+    wide[np.arange(BITMAP) < words[:, None]] = x["bits"]
+    # a bitmap of fewer words is the longer one, folded
+    two = np.stack([wide[:, 0] ^ wide[:, 2], wide[:, 1] ^ wide[:, 3]], axis=1)
+    one = two[:, 0] ^ two[:, 1]
+    left, step = np.flatnonzero(x["open"]), 0
+    while True:
+        # each line with the earliest of its group first
+        left = left[begins[left] + step < left]
+        if most_named is not None:
+            left = left[named[left] <= most_named]
+        if not len(left):
+            break
+        i, j = begins[left] + step, left
+        step += 1
+        a, b = size[i], size[j]
+        need = (4 * (a + b) + 8) // 9
+        ok = (5 * np.minimum(a, b) >= 4 * np.maximum(a, b)) & (np.minimum(a - pos[i], b - pos[j]) >= need)
+        # lines of one side meet only in the cell of their own
+        ok &= inner[i] | (side[i] != side[j])
+        i, j, most = i[ok], j[ok], (a + b - 2 * need)[ok]
+        ok = np.bitwise_count(one[i] ^ one[j]) <= most
+        i, j, most = i[ok], j[ok], most[ok]
+        fewer = np.minimum(words[i], words[j])
+        ok = (fewer < 2) | (np.bitwise_count(two[i] ^ two[j]).sum(axis=1, dtype=np.int64) <= most)
+        ok &= (fewer < BITMAP) | (np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1, dtype=np.int64) <= most)
+        # tokens of one line may share a key
+        ok &= (x["ln"][i] != x["ln"][j]) | (x["did"][i] != x["did"][j]) | (x["tie"][i] != x["tie"][j]) | (x["known"][i] != x["known"][j])
+        i, j = i[ok], j[ok]
+        named[j] += 1
+        yield j, i
+
+
+ENDS = [*REF, *[f"{c}0" for c in REF]]
+
+
+def _candidates(blocks: DataFrame, most_named: int | None) -> DataFrame:
+    """ENDS and more: candidates that an open line names, and whether it has more than ``most_named`` of them under some token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        rows = 0
-
-        def done(table: pa.Table) -> pa.RecordBatch:
-            x = {c: table[c].to_numpy() for c in names if c not in ("did", "tie")}
-            new = np.ones(table.num_rows, bool)
-            new[1:] = (x["key"][1:] != x["key"][:-1]) | (x["cell"][1:] != x["cell"][:-1])
-            later, earlier, more = pairs(x, np.flatnonzero(new))
-            number = pa.array((x["line"] >> 32).astype(np.int32))
-            columns = [table["did"].combine_chunks(), table["tie"].combine_chunks(), number]
-            out = [c.take(pa.array(at)) for at in (later, earlier) for c in columns]
-            return pa.RecordBatch.from_arrays([*out, pa.array(more[later])], ["did", "tie", "ln", "did0", "tie0", "ln0", "more"])
+        for _, some in _by_bucket(batches):
+            x = _joined([_unpack(block, _TOKENS) for _, block in some])
+            x = _tokens_at(x, np.lexsort((x["pos"], x["ln"], x["tie"], x["did"], x["known"], x["cell"], x["key"])))
+            named = np.zeros(len(x["key"]), np.int64)
+            found = _pairs(x, named, most_named)
+            if most_named is not None:
+                # at most most_named for a row
+                few = [(j[named[j] <= most_named], i[named[j] <= most_named]) for j, i in found]
+                found = [(np.concatenate([f[0] for f in few]), np.concatenate([f[1] for f in few]))] if few else []
+            for later, earlier in found:
+                for k in range(0, len(later), OUT_ROWS):
+                    ends = [at[k : k + OUT_ROWS] for at in (later, earlier)]
+                    columns = [c for at in ends for c in (pa.array(x["did"][at], mask=x["known"][at] == 0), pa.array(x["tie"][at]), pa.array(x["ln"][at]))]
+                    more = named[ends[0]] > (most_named or 0)
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(more)], [*ENDS, "more"])
 
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows < 1 << 17:
-                continue
-            table = pa.Table.from_batches(held).combine_chunks()
-            key, cell = table["key"].to_numpy(), table["cell"].to_numpy()
-            same = (key == key[-1]) & (cell == cell[-1])
-            cut = int(np.flatnonzero(same)[0])
-            if cut:
-                yield done(table.slice(0, cut).combine_chunks())
-            held, rows = table.slice(cut).to_batches(), table.num_rows - cut
-        if rows:
-            yield done(pa.Table.from_batches(held).combine_chunks())
-
-    dealt = postings.repartition("key", "cell").sortWithinPartitions("key", "cell", "did", "tie", "line").select(*names)
-    return dealt.mapInArrow(run, "did bigint, tie bigint, ln int, did0 bigint, tie0 bigint, ln0 int, more boolean")
+    return _shuffled(blocks).mapInArrow(run, "did bigint, tie bigint, ln int, did0 bigint, tie0 bigint, ln0 int, more boolean")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, classes) -> DataFrame:
-    """The pairs (did, tie, ln, did0, tie0, ln0) whose token sets have a Jaccard similarity of 0.8 or more."""
-    spark = pairs.sparkSession
-    ends = pairs.select("did", "tie", "ln").unionByName(pairs.select(*[F.col(f"{c}0").alias(c) for c in ("did", "tie", "ln")])).distinct()
-    hashed = F.xxhash64("did", "tie")
-    doc_slot = hashed.bitwiseAND((1 << DOC_BITS) - 1)
+def _filter_bits(n: int) -> int:
+    return min(FILTER_BITS, max(16, (16 * n).bit_length()))
+
+
+def _bitmap(rows: DataFrame, slot: Column, bits: int):
+    """A broadcast bitmap of the slots that occur; at most 2 ** (bits - 6) rows come to the driver."""
+    words = rows.select(slot.bitwiseAND((1 << bits) - 1).alias("slot")).selectExpr("shiftright(slot, 6) AS w", "shiftleft(1L, CAST(slot & 63 AS int)) AS b")
+    table = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[table["w"].to_numpy()] = table["b"].to_numpy()
+    return rows.sparkSession.sparkContext.broadcast(out)
 
-    def bitmap(slot: Column, bits: int):
-        """Set bits of the slots; at most 2 ** (bits - 6) rows come to the driver, whatever the number of candidates."""
-        words = ends.select(slot.alias("slot")).selectExpr("shiftright(slot, 6) AS w", "shiftleft(1L, CAST(slot & 63 AS int)) AS b")
-        table = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-        out = np.zeros(1 << (bits - 6), np.int64)
-        out[table["w"].to_numpy()] = table["b"].to_numpy()
-        return spark.sparkContext.broadcast(out)
 
+def _in_bitmap(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    at = slots & (64 * len(bitmap) - 1)
+    return ((bitmap[at >> 6] >> (at & 63)) & 1).astype(bool)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, classes) -> DataFrame:
+    """The later lines of the pairs ENDS whose token sets have a Jaccard similarity of 0.8 or more."""
+    ends = pairs.select(*REF).unionByName(pairs.select(*[F.col(f"{c}0").alias(c) for c in REF])).distinct()
+    bits = _filter_bits(2 * pairs.count())
+    hashed = F.xxhash64("did", "tie")
     # a line's slot: its document's hash and its number
-    docs_in = bitmap(doc_slot, DOC_BITS)
-    lines_in = bitmap(hashed.bitwiseXOR(F.col("ln").cast("long") * _STRIDE).bitwiseAND((1 << LINE_BITS) - 1), LINE_BITS)
+    docs_in = _bitmap(ends, hashed, bits)
+    lines_in = _bitmap(ends, _slot(), bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = batch.column(3).to_numpy()
-            at = h & ((1 << DOC_BITS) - 1)
-            hit = np.flatnonzero((docs_in.value[at >> 6] >> (at & 63)) & 1)
+            hit = np.flatnonzero(_in_bitmap(docs_in.value, h))
             batch, h = batch.take(pa.array(hit)), h[hit]
             body = batch.column(2).to_pylist()
-            for a, b in rounds(body):
+            for a, b in rounds(body, ROUND):
                 x = Lines(body[a:b], classes.value)
-                at = (h[x.text + a] ^ (x.number * _STRIDE)) & ((1 << LINE_BITS) - 1)
-                hit = np.flatnonzero((lines_in.value[at >> 6] >> (at & 63)) & 1)
+                hit = np.flatnonzero(_in_bitmap(lines_in.value, h[x.text + a] ^ (x.number * _STRIDE)))
                 if len(hit):
                     which = pa.array(x.text[hit] + a)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(which), batch.column(1).take(which), pa.array(x.number[hit], pa.int32()), x.tokens().take(pa.array(hit))],
-                        ["did", "tie", "ln", "tokens"],
+                        [*REF, "tokens"],
                     )
 
     sets = texts.select("did", "tie", "text", hashed.alias("h")).mapInArrow(run, "did bigint, tie bigint, ln int, tokens array<bigint>")
-    one, two = ("did", "tie", "ln"), ("did0", "tie0", "ln0")
     # written without the repeats of repeated documents: the joins below have plain inputs, which can be split where they are skewed
-    named = written(sets.select(F.struct(*one).alias("r"), "tokens").groupBy("r").agg(F.max("tokens").alias("tokens")), "sets")
+    named = written(sets.select(F.struct(*REF).alias("r"), "tokens").groupBy("r").agg(F.max("tokens").alias("tokens")), "sets")
     joined = (
-        pairs.select(F.struct(*one).alias("later"), F.struct(*[F.col(c).alias(d) for c, d in zip(two, one)]).alias("earlier"))
+        pairs.select(F.struct(*REF).alias("later"), F.struct(*[F.col(f"{c}0").alias(c) for c in REF]).alias("earlier"))
         .join(named.select(F.col("r").alias("later"), F.col("tokens").alias("x")), "later")
         .join(named.select(F.col("r").alias("earlier"), F.col("tokens").alias("y")), "earlier")
     )
-    return joined.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("later.*")
+    near = joined.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("later.*")
+    near = written(near.distinct(), "near")
+    drop_written(named)
+    return near
+
+
+def _key_slots(key: np.ndarray) -> np.ndarray:
+    return _mix(key.astype(_U), 13).view(np.int64)
+
+
+def _all_candidates(open_: DataFrame, distinct: DataFrame, hot, buckets: int) -> DataFrame:
+    """ENDS of every candidate of the lines ``open_`` (REF); other lines of their bitmap's slots add a few, which are verified, too."""
+    lines_in = _bitmap(open_, _slot(), _filter_bits(open_.count()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = _in_bitmap(lines_in.value, batch.column(1).to_numpy())
+            keys = np.unique(_prefix_keys(batch.column(0).filter(pa.array(hit)))[0])
+            if len(keys):
+                yield pa.RecordBatch.from_arrays([pa.array(_key_slots(keys))], ["slot"])
+
+    keys = written(distinct.select("prefix", _slot().alias("slot")).mapInArrow(run, "slot bigint").distinct(), "keys")
+    keys_in = _bitmap(keys, F.col("slot"), _filter_bits(keys.count()))
+    pairs = _candidates(_token_blocks(distinct, hot, buckets, only=(lines_in, keys_in)), None)
+    pairs = written(pairs.select(*ENDS).distinct(), "pairs")
+    drop_written(keys)
+    return pairs
 
 
-def _removed(texts: DataFrame) -> DataFrame:
-    """(did, tie, ln): lines to remove from texts of columns did, tie and text, counted from 0."""
+def _removed(texts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(did, tie, ln) of lines to remove from texts of columns did, tie and text, counted from 0; the written tables it reads."""
     spark = texts.sparkSession
     bounded_batches(spark)
-    classes = spark.sparkContext.broadcast(rarity(texts))
-    lines = written(_line_table(texts, classes), "lines")
-    distinct = written(_distinct(lines), "distinct")
-    ref = ["did", "tie", "ln"]
-    first = distinct.select("s1", "s2", F.struct(*ref).alias("first"))
-    equal = written(lines.select("s1", "s2", *ref).join(first, ["s1", "s2"]).where(F.struct(*ref) != F.col("first")).select(*ref), "equal")
-    drop_written(lines)
+    classes, n_lines = rarity(texts)
+    classes = spark.sparkContext.broadcast(classes)
+    lines = written(_line_table(texts, classes, n_lines), "lines")
     release(spark)
-    ends, sides = [*ref, *[f"{c}0" for c in ref]], _sides(distinct)
+    distinct, equal = lines.where("prefix IS NOT NULL"), lines.where("prefix IS NULL").select(*REF)
+    total, *hot = _hot(distinct)
+    hot = spark.sparkContext.broadcast(hot)
+    buckets = max(1, total // (PASSES * BUCKET_TOKENS))
     parts = []
     for i in range(PASSES):
-        parts.append(written(_candidates(_postings(distinct, sides, i)).groupBy(*ends).agg(F.max("more").alias("more")), "part"))
+        parts.append(written(_candidates(_token_blocks(distinct, hot, buckets, (i, PASSES)), NAMED).groupBy(*ENDS).agg(F.max("more").alias("more")), "part"))
         release(spark)
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
-    named = written(every.groupBy(*ends).agg(F.max("more").alias("more")), "pairs")
+    named = written(every.groupBy(*ENDS).agg(F.max("more").alias("more")), "pairs")
     for part in parts:
         drop_written(part)
-    near = written(_verified(named, texts, classes).distinct(), "near")
+    near = [_verified(named, texts, classes)]
     # lines that have more candidates than they named, and match none of those: all of theirs
     # (by one struct, which a null id does not keep from matching)
-    found = near.select(F.struct(*ref).alias("r"))
-    open_ = written(named.where("more").select(F.struct(*ref).alias("r")).distinct().join(found, "r", "left_anti"), "open")
+    found = near[0].select(F.struct(*REF).alias("r"))
+    open_ = written(named.where("more").select(F.struct(*REF).alias("r")).distinct().join(found, "r", "left_anti").select("r.*"), "open")
+    drop_written(named)
     if not open_.isEmpty():
-        held = distinct.withColumn("r", F.struct(*ref)).join(open_, "r", "left_semi").drop("r")
-        mine = written(_postings(held, sides), "mine")
-        theirs = _postings(distinct, sides).join(mine.select("key", "cell").distinct(), ["key", "cell"], "left_semi")
-        theirs = theirs.select("key", "cell", *[F.col(c).alias(f"{c}0") for c in theirs.columns if c not in ("key", "cell")])
-        joined = mine.join(theirs, ["key", "cell"])
-        for end in ("", "0"):
-            joined = joined.withColumns(
-                {
-                    f"ln{end}": F.shiftright(f"line{end}", 32).cast("int"),
-                    f"size{end}": F.col(f"line{end}").bitwiseAND(0xFFFFFFFF),
-                    f"pos{end}": F.shiftright(f"spot{end}", 32),
-                }
-            )
-        need = F.floor((4 * (F.col("size") + F.col("size0")) + 8) / 9)
-        apart = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}0"))) for b in B)
-        earlier = F.struct(*[F.col(f"{c}0").alias(c) for c in ref]) < F.struct(*ref)
-        joined = joined.where(
-            earlier
-            & (5 * F.least("size", "size0") >= 4 * F.greatest("size", "size0"))
-            & (F.least(F.col("size") - F.col("pos"), F.col("size0") - F.col("pos0")) >= need)
-            & (apart <= F.col("size") + F.col("size0") - 2 * need)
-        )
-        more = written(joined.select(*ends).distinct(), "pairs")
-        near = written(near.unionByName(_verified(more, texts, classes)).distinct(), "near")
-    drop_written(distinct)
-    return equal.unionByName(near)
+        pairs = _all_candidates(open_, distinct, hot, buckets)
+        near.append(_verified(pairs, texts, classes))
+        drop_written(pairs)
+    drop_written(open_)
+    gone = equal
+    for part in near:
+        gone = gone.unionByName(part)
+    return gone, [lines, *near]
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] | None = None) -> DataFrame:
     """docs with its columns, the text without the lines that go; with ``counts``, columns of these names: lines, and removed ones."""
     text, names = F.col(f"`{text_col}`"), docs.columns
-    keyed = _keyed(docs, id_col, text_col)
-    gone = _removed(keyed.where(text.isNotNull()).select(F.col("__did").alias("did"), F.col("__tie").alias("tie"), text.alias("text")))
-    gone = gone.groupBy("did", "tie").agg(F.collect_set("ln").alias("__gone"))
-    gone = written(gone.select(F.struct("did", "tie").alias("__key"), "__gone"), "gone")
+    if counts and {c.lower() for c in counts} & {c.lower() for c in names}:
+        raise ValueError(f"columns {counts} are already there")
+    did, tie, key, gone_col, pieces, left = fresh(names, "did", "tie", "key", "gone", "pieces", "left")
+    keyed = _keyed(docs, id_col, text_col, did, tie)
+    gone, used = _removed(keyed.where(text.isNotNull()).select(F.col(did).alias("did"), F.col(tie).alias("tie"), text.alias("text")))
+    gone = gone.groupBy("did", "tie").agg(F.collect_set("ln").alias(gone_col))
+    gone = written(gone.select(F.struct("did", "tie").alias(key), gone_col), "gone")
+    for table in used:
+        drop_written(table)
     release(docs.sparkSession)
-    joined = keyed.withColumn("__key", F.struct(F.col("__did").alias("did"), F.col("__tie").alias("tie"))).join(gone, "__key", "left")
-    pieces = F.split(text, "\n")
-    left = F.array_join(F.filter(pieces, lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    out = [F.when(F.col("__gone").isNull(), text).otherwise(left).alias(c) if c == text_col else F.col(f"`{c}`") for c in names]
+    keyed = keyed.withColumn(key, F.struct(F.col(did).alias("did"), F.col(tie).alias("tie")))
+    # sorted on both sides at any size: what goes grows with the corpus
+    joined = keyed.join(gone.hint("merge"), key, "left").withColumn(pieces, F.split(text, "\n"))
+    # places that stay, in order, in a projection of their own; then the pieces there
+    places = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), gone_col)
+    joined = joined.withColumn(left, F.when(F.col(gone_col).isNotNull(), F.transform(places, lambda i: F.get(F.col(pieces), i))))
+    out = [F.coalesce(F.array_join(left, "\n"), text).alias(c) if c == text_col else F.col(f"`{c}`") for c in names]
     if counts:
-        out += [F.coalesce(F.size(pieces), F.lit(0)).cast("long").alias(counts[0]), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias(counts[1])]
+        out.append(F.when(text.isNull(), F.lit(0)).otherwise(F.size(pieces)).cast("long").alias(counts[0]))
+        out.append(F.coalesce(F.size(gone_col), F.lit(0)).cast("long").alias(counts[1]))
     return joined.select(*out)
