@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bounds of one Arrow batch, so that a worker's memory does not follow the length of the texts.
 BATCH_ROWS, BATCH_BYTES = 20_000, 4 << 20
@@ -82,6 +83,17 @@ def fresh(names: list[str], *wanted: str) -> list[str]:
     return out
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str, did_col: str, tie_col: str) -> DataFrame:
+    """docs with two longs that tell documents apart: the id (a hash of one that is no whole number), and where ids repeat a hash of the text."""
+    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
+    did = F.col(f"`{id_col}`")
+    did = did.cast("long") if whole else F.when(did.isNotNull(), F.xxhash64(did.cast("string")))
+    tie = F.xxhash64(F.col(f"`{text_col}`"))
+    ids = docs.select(did.alias("did"), tie.alias("tie")).groupBy("did").agg((F.min("tie") != F.max("tie")).alias("differ"))
+    unique = ids.where("differ").isEmpty()
+    return docs.withColumns({did_col: did, tie_col: F.lit(0).cast("long") if unique else tie})
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``; a local default in local mode only."""
     d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -94,10 +106,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, what: str = "step") -> DataFrame:
-    """df as a Parquet table in the shared folder: its lineage is cut, and any executor can read it again."""
-    path = f"{shared_dir(df.sparkSession)}/skein-{what}-{uuid.uuid4().hex}"
+    """df as a Parquet table in the shared folder: its lineage is cut, and any executor can read it again.
+
+    What drop_written does not delete before goes when the driver's session ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/skein-{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_written(df: DataFrame) -> None:

@@ -30,16 +30,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import bounded_batches, drop_written, fresh, release, rounds, written
+from . import blocks
+from .common import bounded_batches, drop_written, fresh, keyed, release, rounds, written
 
 #: Buckets of word counts, as a power of two.
 COUNT_BITS = 20
-#: Lines of one cell of a token, about (more where over MOST_HOT tokens had more); candidates that a line names per token.
+#: Lines of one cell of a token, about; candidates that a line names per token.
 CELL, NAMED = 20_000, 4
-#: Tokens that are dealt to several cells at most.
-MOST_HOT = 1 << 20
 #: 64-bit words of the parity bitmap of a line's tokens: long lines need long bitmaps to be told apart.
 BITMAP = 4
 B = [f"b{i + 1}" for i in range(BITMAP)]
@@ -48,9 +46,9 @@ ONE_WORD, TWO_WORDS = 24, 64
 #: Lines with fewer tokens match equal token sets only.
 LEAST = 4
 #: Parts of the tokens that are dealt out one after the other.
-PASSES = 4
+PASSES = 2
 #: Lines, and tokens, of a bucket, about; what a worker holds before it writes blocks.
-BUCKET_LINES, BUCKET_TOKENS, HELD_LINES, HELD_TOKENS = 1 << 15, 1 << 17, 1 << 17, 1 << 20
+BUCKET_LINES, BUCKET_TOKENS, HELD_LINES = 1 << 15, 1 << 17, 1 << 17
 #: Most bits of a filter of candidates, as a power of two; filters grow with the candidates up to here.
 FILTER_BITS = 27
 OUT_ROWS = 20_000
@@ -67,13 +65,6 @@ _HEADS = np.array([(1 << 8 * n) - 1 for n in range(9)], _U)
 REF = ["did", "tie", "ln"]
 
 
-def _mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
-    h = h + _U(salt)
-    h = (h ^ (h >> _U(33))) * _U(0xFF51AFD7ED558CCD)
-    h = (h ^ (h >> _U(29))) * _U(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> _U(32))
-
-
 def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and 64-bit hash of every word in an array of bytes: eight bytes at a time of all words that have as many."""
     inside = np.zeros(len(data) + 2, bool)
@@ -83,13 +74,13 @@ def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(starts):
         return starts, np.zeros(0, _U)
     eights = np.ndarray(len(data), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]).data, strides=(1,))
-    h = _mix(_HEADS[np.minimum(size, 8)] & eights[starts], 1) + size.astype(_U)
+    h = blocks.mix(_HEADS[np.minimum(size, 8)] & eights[starts], 1) + size.astype(_U)
     rest, at = np.flatnonzero(size > 8), 8
     while len(rest):
-        h[rest] = _mix((h[rest] * _U(_BASE)) ^ (_HEADS[np.minimum(size[rest] - at, 8)] & eights[starts[rest] + at]), 1)
+        h[rest] = blocks.mix((h[rest] * _U(_BASE)) ^ (_HEADS[np.minimum(size[rest] - at, 8)] & eights[starts[rest] + at]), 1)
         at += 8
         rest = rest[size[rest] > at]
-    return starts, _mix(h, 2)
+    return starts, blocks.mix(h, 2)
 
 
 def _prefix_length(size: np.ndarray) -> np.ndarray:
@@ -120,7 +111,7 @@ class Lines:
         again = np.zeros(n, bool)
         again[1:] = (line[1:] == line[:-1]) & (h[1:] == h[:-1])
         times = (at - np.maximum.accumulate(np.where(again, 0, at))).astype(_U)
-        self.token = np.where(again, _mix(h + times * _U(0xD6E8FEB86659FD93)), h)
+        self.token = np.where(again, blocks.mix(h + times * _U(0xD6E8FEB86659FD93)), h)
         new = np.ones(n, bool)
         new[1:] = line[1:] != line[:-1]
         self.first = np.flatnonzero(new)
@@ -133,7 +124,7 @@ class Lines:
         self.number = held - begin[self.text]
 
     def sums(self, salt: int) -> np.ndarray:
-        return np.add.reduceat(_mix(self.token, salt), self.first).view(np.int64)
+        return np.add.reduceat(blocks.mix(self.token, salt), self.first).view(np.int64)
 
     def bitmap(self) -> np.ndarray:
         """Words of how often the tokens of each bit occur, modulo two, lines one after the other; see _words_of."""
@@ -151,35 +142,6 @@ class Lines:
         return pa.ListArray.from_arrays(pa.array(np.append(self.first, len(self.token)), pa.int32()), pa.array(self.token.view(np.int64)))
 
 
-def _pack(columns: dict[str, np.ndarray]) -> bytes:
-    """The columns' lengths and values; values in low and high halves, so that the zeros of small numbers stand together."""
-    out = [np.array([len(c) for c in columns.values()], "<i8").tobytes()]
-    for c in columns.values():
-        halves = np.ascontiguousarray(c).view(f"<u{max(1, c.itemsize // 2)}")
-        out += [halves.tobytes()] if c.itemsize == 1 else [halves[0::2].tobytes(), halves[1::2].tobytes()]
-    return b"".join(out)
-
-
-def _unpack(data: bytes, kinds: dict[str, type]) -> dict[str, np.ndarray]:
-    sizes, at, out = np.frombuffer(data, "<i8", len(kinds)), 8 * len(kinds), {}
-    for (name, kind), n in zip(kinds.items(), sizes.tolist()):
-        wide = np.dtype(kind).itemsize
-        if wide == 1:
-            out[name] = np.frombuffer(data, kind, n, at)
-        else:
-            halves = np.empty((n, 2), f"<u{wide // 2}")
-            halves[:, 0] = np.frombuffer(data, halves.dtype, n, at)
-            halves[:, 1] = np.frombuffer(data, halves.dtype, n, at + n * wide // 2)
-            out[name] = halves.reshape(-1).view(kind)
-        at += n * wide
-    return out
-
-
-def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The places first .. first + size - 1 of each, one after the other."""
-    return np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
-
-
 #: What a line is known by, and has: known is 0 where the document's id is null.
 _LINE = {"s1": np.int64, "s2": np.int64, "known": np.uint8, "did": np.int64, "tie": np.int64, "ln": np.int32, "size": np.int32}
 _LINES = _LINE | {"bits": np.uint64, "keys": np.uint32}
@@ -190,42 +152,19 @@ def _lines_at(x: dict[str, np.ndarray], at: np.ndarray) -> dict[str, np.ndarray]
     out = {}
     for many, of in (("bits", _words_of), ("keys", _prefix_length)):
         n = of(x["size"])
-        out[many] = x[many][_ranges((np.cumsum(n) - n)[at], n[at])]
+        out[many] = x[many][blocks.ranges((np.cumsum(n) - n)[at], n[at])]
     return {c: x[c][at] for c in _LINE} | out
 
 
-def _joined(held: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
-    return {c: np.concatenate([x[c] for x in held]) for c in held[0]}
-
-
 def _earliest(x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Places of the earliest line of each token set, and of the others, without those of repeated rows."""
-    order = np.lexsort((x["ln"], x["tie"], x["did"], x["known"], x["s2"], x["s1"]))
+    order = blocks.order(x, ("s1", "s2", "known", "did", "tie", "ln"))
     step = {c: np.concatenate([[True], x[c][order][1:] != x[c][order][:-1]])[: len(order)] for c in ("s1", "s2", "known", "did", "tie", "ln")}
     new = step["s1"] | step["s2"]
     other = ~new & (step["known"] | step["did"] | step["tie"] | step["ln"])
     return order[new], order[other]
 
 
-def _dealt(x: dict[str, np.ndarray], bucket: np.ndarray, cut) -> Iterator[tuple[int, bytes]]:
-    """(bucket, block) of all buckets that have rows; ``cut`` takes the rows of some places."""
-    order = np.argsort(bucket, kind="stable")
-    edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-    for a, b in zip(edges, np.append(edges[1:], len(order))):
-        yield int(bucket[order[a]]), _pack(cut(x, order[a:b]))
-
-
-def _keyed(docs: DataFrame, id_col: str, text_col: str, did_col: str, tie_col: str) -> DataFrame:
-    """docs with two columns that tell documents apart: a hash of the text is needed only where ids repeat."""
-    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
-    did = F.col(f"`{id_col}`")
-    did = did.cast("long") if whole else F.when(did.isNotNull(), F.xxhash64(did.cast("string")))
-    tie = F.xxhash64(F.col(f"`{text_col}`"))
-    ids = docs.select(did.alias("did"), tie.alias("tie")).groupBy("did").agg((F.min("tie") != F.max("tie")).alias("differ"))
-    unique = ids.where("differ").isEmpty()
-    return docs.withColumns({did_col: did, tie_col: F.lit(0).cast("long") if unique else tie})
-
-
 def rarity(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
     """Classes of rarity (0: no word; a step is an eighth of a power of two) by hashed bucket, and the number of lines, of all docs."""
     bounded_batches(docs.sparkSession)
@@ -241,7 +180,7 @@ def rarity(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
                 _, h = _word_hashes(data)
                 np.add.at(total, (h >> _U(64 - COUNT_BITS)).astype(np.int64), 1)
         if n_lines:
-            slices = [_pack({"n": total[k * wide : (k + 1) * wide]}) for k in range(64)]
+            slices = [blocks.pack({"n": total[k * wide : (k + 1) * wide]}) for k in range(64)]
             yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int64()), pa.array(slices, pa.binary()), pa.array([n_lines] + [0] * 63, pa.int64())], names)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,7 +188,7 @@ def rarity(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
         for batch in batches:
             for k, block, n in zip(*(c.to_pylist() for c in batch.columns)):
                 held = total.setdefault(k, [np.zeros(wide, np.int64), 0])
-                held[0] += _unpack(block, {"n": np.int64})["n"]
+                held[0] += blocks.unpack(block, {"n": np.int64})["n"]
                 held[1] += n
         for k, (counts, n) in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([counts.tobytes()], pa.binary()), pa.array([n], pa.int64())], names)
@@ -265,19 +204,6 @@ def rarity(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
     return np.minimum(255, np.ceil(8 * np.log2(counts + 1.0))).astype(np.uint8), n_lines
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple[int, bytes]]]]:
-    """Rows (bucket, kind, block) that are sorted by bucket, as (kind, block) pairs by bucket."""
-    import itertools
-
-    rows = ((b, k, block) for batch in batches for b, k, block in zip(*(c.to_pylist() for c in batch.columns)))
-    for bucket, some in itertools.groupby(rows, key=lambda r: r[0]):
-        yield bucket, ((k, block) for _, k, block in some)
-
-
-def _shuffled(blocks: DataFrame) -> DataFrame:
-    return blocks.repartition("bucket").sortWithinPartitions("bucket")
-
-
 def _line_table(texts: DataFrame, classes, n_lines: int) -> DataFrame:
     """A row per line with words that is the earliest of its token set, with its prefix, and one without for each that goes."""
     buckets = max(1, n_lines // BUCKET_LINES)
@@ -286,14 +212,14 @@ def _line_table(texts: DataFrame, classes, n_lines: int) -> DataFrame:
         held, n = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            x = _joined(held)
+            x = blocks.joined(held)
             first, other = _earliest(x)
             kept, gone = _lines_at(x, first), {c: x[c][other] for c in _LINE}
-            rows = [(b, 0, block) for b, block in _dealt(kept, (kept["s1"].view(_U) % _U(buckets)).astype(np.int64), _lines_at)]
-            spread = (_mix(gone["did"].view(_U), 7) % _U(buckets)).astype(np.int64)
-            rows += [(b, 1, block) for b, block in _dealt(gone, spread, lambda y, at: {c: y[c][at] for c in _LINE})]
+            rows = [(b, 0, block) for b, block in blocks.dealt(kept, (kept["s1"].view(_U) % _U(buckets)).astype(np.int64), _lines_at)]
+            spread = (blocks.mix(gone["did"].view(_U), 7) % _U(buckets)).astype(np.int64)
+            rows += [(b, 1, block) for b, block in blocks.dealt(gone, spread, lambda y, at: {c: y[c][at] for c in _LINE})]
             for row in rows:
-                yield pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int64()), pa.array([row[1]], pa.int32()), pa.array([row[2]], pa.binary())], ["bucket", "kind", "block"])
+                yield blocks.row(*row)
 
         for batch in batches:
             known = batch.column(0).is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)
@@ -333,69 +259,36 @@ def _line_table(texts: DataFrame, classes, n_lines: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, prefix], names)
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, blocks in _by_bucket(batches):
+        for _, some in blocks.by_bucket(batches):
             held, n = [], 0
-            for kind, block in blocks:
-                x = _unpack(block, _LINE if kind else _LINES)
+            for kind, block in some:
+                x = blocks.unpack(block, _LINE if kind else _LINES)
                 if kind:
                     yield from rows(x, False)
                     continue
                 held.append(x)
                 n += len(x["did"])
                 if len(held) > 1 and n - len(held[0]["did"]) >= HELD_LINES:
-                    x = _joined(held)
+                    x = blocks.joined(held)
                     first, other = _earliest(x)
                     yield from rows({c: x[c][other] for c in _LINE}, False)
                     held, n = [_lines_at(x, first)], len(first)
             if held:
-                x = _joined(held)
+                x = blocks.joined(held)
                 first, other = _earliest(x)
                 yield from rows({c: x[c][other] for c in _LINE}, False)
                 yield from rows(_lines_at(x, first), True)
 
-    blocks = texts.mapInArrow(deal, "bucket bigint, kind int, block binary")
-    return _shuffled(blocks).mapInArrow(combine, f"did bigint, tie bigint, ln int, size int, {', '.join(f'{b} bigint' for b in B)}, prefix binary")
+    return blocks.shuffled(texts.mapInArrow(deal, blocks.SCHEMA)).mapInArrow(combine, f"did bigint, tie bigint, ln int, size int, {', '.join(f'{b} bigint' for b in B)}, prefix binary")
 
 
 def _prefix_keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Keys of an array of prefixes, and how many each has."""
-    size = pa.compute.binary_length(column).to_numpy().astype(np.int64) // 4
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32), size
-
-
-def _hot(distinct: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
-    """How many tokens all prefixes hold, and the keys of those that many prefixes hold with the sides of their grids.
-
-    Workers report keys that they meet a quarter as often as a key of CELL lines is met on average; at most MOST_HOT come here.
-    """
-    total = distinct.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
-    total //= 4
-    cell = max(CELL, total // MOST_HOT)
-    tasks = max(1, distinct.rdd.getNumPartitions(), total // HELD_TOKENS)
-    least = max(1, cell // (4 * tasks))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-
-        def flush() -> pa.RecordBatch:
-            keys, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times >= least
-            return pa.RecordBatch.from_arrays([pa.array(keys[often].astype(np.int64)), pa.array(times[often].astype(np.int64))], ["key", "n"])
-
-        for batch in batches:
-            held.append(_prefix_keys(batch.column(0))[0])
-            n += len(held[-1])
-            if n >= HELD_TOKENS:
-                yield flush()
-                held, n = [], 0
-        if n:
-            yield flush()
-
-    if total <= cell:
-        return total, np.zeros(0, np.uint32), np.zeros(0, np.int64)
-    counts = distinct.select("prefix").mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    table = counts.where(F.col("n") > cell).orderBy("key").toArrow()
-    return total, table["key"].to_numpy().astype(np.uint32), -(-table["n"].to_numpy() // cell)
+    if isinstance(column, pa.LargeBinaryArray):
+        column = column.cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8, int(ends[-1] - ends[0]), int(ends[0])) if len(column) and ends[-1] > ends[0] else np.zeros(0, np.uint8)
+    return np.ascontiguousarray(data).view(np.uint32), np.diff(ends).astype(np.int64) // 4
 
 
 _TOKENS = {
@@ -406,7 +299,7 @@ _TOKENS = {
 
 def _tokens_at(x: dict[str, np.ndarray], at: np.ndarray) -> dict[str, np.ndarray]:
     n = _words_of(x["size"])
-    return {c: x[c][at] for c in _TOKENS if c != "bits"} | {"bits": x["bits"][_ranges((np.cumsum(n) - n)[at], n[at])]}
+    return {c: x[c][at] for c in _TOKENS if c != "bits"} | {"bits": x["bits"][blocks.ranges((np.cumsum(n) - n)[at], n[at])]}
 
 
 def _slot() -> Column:
@@ -423,28 +316,20 @@ def _token_blocks(distinct: DataFrame, hot, buckets: int, part: tuple[int, int]
     taken, parts = part
 
     def tokens(batch: pa.RecordBatch) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        hot_keys, hot_sides = hot.value
         key, many = _prefix_keys(batch.column(4 + BITMAP))
         row = np.repeat(np.arange(batch.num_rows), many)
         known = batch.column(0).is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)
         did, tie, ln, size = batch.column(0).fill_null(0).to_numpy(), *(batch.column(i).to_numpy() for i in (1, 2, 3))
-        pos = _ranges(np.zeros(len(many), np.int64), many)
+        pos = blocks.ranges(np.zeros(len(many), np.int64), many)
         searched = np.ones(batch.num_rows, np.uint8)
         if only:
             searched = _in_bitmap(only[0].value, batch.column(5 + BITMAP).to_numpy()).astype(np.uint8)
             hit = _in_bitmap(only[1].value, _key_slots(key))
             key, row, pos = key[hit], row[hit], pos[hit]
-        cell, side = np.zeros(len(key), np.int64), np.zeros(len(key), np.int32)
-        if len(hot_keys):
-            at = np.minimum(np.searchsorted(hot_keys, key), len(hot_keys) - 1)
-            sides = np.where(hot_keys[at] == key, hot_sides[at], 1)
-            whose = _mix(did.view(_U) + _mix(tie.view(_U) + ln.astype(_U), 3), 5)
-            side = (whose[row] % sides.astype(_U)).astype(np.int32)
-            again = np.repeat(np.arange(len(key)), sides)
-            other = _ranges(np.zeros(len(key), np.int64), sides)
-            key, row, pos, side = key[again], row[again], pos[again], side[again]
-            cell = (np.minimum(side, other) << 32) | np.maximum(side, other)
-        bucket = (_mix((key.astype(_U) << _U(32)) ^ cell.view(_U), 9) % _U(parts * buckets)).astype(np.int64)
+        whose = blocks.mix(did.view(_U) + blocks.mix(tie.view(_U) + ln.astype(_U), 3), 5)
+        again, cell, side = blocks.cells(key.astype(np.int64), whose[row], *hot.value)
+        key, row, pos = key[again], row[again], pos[again]
+        bucket = (blocks.mix((key.astype(_U) << _U(32)) ^ cell.view(_U), 9) % _U(parts * buckets)).astype(np.int64)
         mine = np.flatnonzero(bucket // buckets == taken)
         row = row[mine]
         words = _words_of(size)
@@ -457,21 +342,21 @@ def _token_blocks(distinct: DataFrame, hot, buckets: int, part: tuple[int, int]
         held, n = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            x = _joined([h[0] for h in held])
-            for b, block in _dealt(x, np.concatenate([h[1] for h in held]), _tokens_at):
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([0], pa.int32()), pa.array([block], pa.binary())], ["bucket", "kind", "block"])
+            x = blocks.joined([h[0] for h in held])
+            for b, block in blocks.dealt(x, np.concatenate([h[1] for h in held]), _tokens_at):
+                yield blocks.row(b, 0, block)
 
         for batch in batches:
             held.append(tokens(batch))
             n += len(held[-1][1])
-            if n >= HELD_TOKENS:
+            if n >= blocks.HELD:
                 yield from flush()
                 held, n = [], 0
         if n:
             yield from flush()
 
     columns = [*REF, "size", *B, "prefix", *[_slot().alias("slot")] * bool(only)]
-    return distinct.select(*columns).mapInArrow(deal, "bucket bigint, kind int, block binary")
+    return distinct.select(*columns).mapInArrow(deal, blocks.SCHEMA)
 
 
 def _pairs(x: dict[str, np.ndarray], named: np.ndarray, most_named: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -523,13 +408,13 @@ def _pairs(x: dict[str, np.ndarray], named: np.ndarray, most_named: int | None)
 ENDS = [*REF, *[f"{c}0" for c in REF]]
 
 
-def _candidates(blocks: DataFrame, most_named: int | None) -> DataFrame:
+def _candidates(tokens: DataFrame, most_named: int | None) -> DataFrame:
     """ENDS and more: candidates that an open line names, and whether it has more than ``most_named`` of them under some token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, some in _by_bucket(batches):
-            x = _joined([_unpack(block, _TOKENS) for _, block in some])
-            x = _tokens_at(x, np.lexsort((x["pos"], x["ln"], x["tie"], x["did"], x["known"], x["cell"], x["key"])))
+        for _, some in blocks.by_bucket(batches):
+            x = blocks.joined([blocks.unpack(block, _TOKENS) for _, block in some])
+            x = _tokens_at(x, blocks.order(x, ("key", "cell", "known", "did", "tie", "ln")))
             named = np.zeros(len(x["key"]), np.int64)
             found = _pairs(x, named, most_named)
             if most_named is not None:
@@ -543,7 +428,7 @@ def _candidates(blocks: DataFrame, most_named: int | None) -> DataFrame:
                     more = named[ends[0]] > (most_named or 0)
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(more)], [*ENDS, "more"])
 
-    return _shuffled(blocks).mapInArrow(run, "did bigint, tie bigint, ln int, did0 bigint, tie0 bigint, ln0 int, more boolean")
+    return blocks.shuffled(tokens).mapInArrow(run, "did bigint, tie bigint, ln int, did0 bigint, tie0 bigint, ln0 int, more boolean")
 
 
 def _filter_bits(n: int) -> int:
@@ -604,7 +489,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, classes) -> DataFrame:
 
 
 def _key_slots(key: np.ndarray) -> np.ndarray:
-    return _mix(key.astype(_U), 13).view(np.int64)
+    return blocks.mix(key.astype(_U), 13).view(np.int64)
 
 
 def _all_candidates(open_: DataFrame, distinct: DataFrame, hot, buckets: int) -> DataFrame:
@@ -635,7 +520,8 @@ def _removed(texts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     lines = written(_line_table(texts, classes, n_lines), "lines")
     release(spark)
     distinct, equal = lines.where("prefix IS NOT NULL"), lines.where("prefix IS NULL").select(*REF)
-    total, *hot = _hot(distinct)
+    total = (distinct.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0) // 4
+    hot = blocks.hot(distinct.select("prefix"), lambda batch: _prefix_keys(batch.column(0))[0].astype(np.int64), total, CELL)
     hot = spark.sparkContext.broadcast(hot)
     buckets = max(1, total // (PASSES * BUCKET_TOKENS))
     parts = []
@@ -671,16 +557,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if counts and {c.lower() for c in counts} & {c.lower() for c in names}:
         raise ValueError(f"columns {counts} are already there")
     did, tie, key, gone_col, pieces, left = fresh(names, "did", "tie", "key", "gone", "pieces", "left")
-    keyed = _keyed(docs, id_col, text_col, did, tie)
-    gone, used = _removed(keyed.where(text.isNotNull()).select(F.col(did).alias("did"), F.col(tie).alias("tie"), text.alias("text")))
+    rows = keyed(docs, id_col, text_col, did, tie)
+    gone, used = _removed(rows.where(text.isNotNull()).select(F.col(did).alias("did"), F.col(tie).alias("tie"), text.alias("text")))
     gone = gone.groupBy("did", "tie").agg(F.collect_set("ln").alias(gone_col))
     gone = written(gone.select(F.struct("did", "tie").alias(key), gone_col), "gone")
     for table in used:
         drop_written(table)
     release(docs.sparkSession)
-    keyed = keyed.withColumn(key, F.struct(F.col(did).alias("did"), F.col(tie).alias("tie")))
+    rows = rows.withColumn(key, F.struct(F.col(did).alias("did"), F.col(tie).alias("tie")))
     # sorted on both sides at any size: what goes grows with the corpus
-    joined = keyed.join(gone.hint("merge"), key, "left").withColumn(pieces, F.split(text, "\n"))
+    joined = rows.join(gone.hint("merge"), key, "left").withColumn(pieces, F.split(text, "\n"))
     # places that stay, in order, in a projection of their own; then the pieces there
     places = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), gone_col)
     joined = joined.withColumn(left, F.when(F.col(gone_col).isNotNull(), F.transform(places, lambda i: F.get(F.col(pieces), i))))
