@@ -6,8 +6,10 @@ by their neighbourhoods: every one of them stands in the groups of its own value
 a common group exactly if they differ in at most two bits. A group holds at most 65 fingerprints, whatever the data, and only
 a star of links to its least member leaves it.
 
-A larger radius has no such neighbourhoods: the fingerprints of a key are compared by Python workers, all of a small key at
-once, else from each fingerprint found to those not found yet. Pairs or stars leave a key, never more than DENSE links a member.
+Other radii have no such neighbourhoods: fingerprints are dealt by key, and the members of a key are compared by Python workers.
+Small keys are compared all at once; in others, and in those whose members are near each other, the search goes from each
+fingerprint found to those not found yet. Never more than DENSE links a member leave a key. A key that over CELL fingerprints have
+is dealt to a grid of cells, of which each two of them meet in one.
 
 ``components`` is the alternation of large stars and small stars; each round is a written table, so that a lost executor costs
 a round at most.
@@ -22,9 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, written
+from . import blocks
+from .common import bounded_batches, drop_written, written
 
 RADIUS = 2
+#: Fingerprints of one cell of a key, and rows of a bucket, about.
+CELL, BUCKET_ROWS = 100_000, 1 << 18
 #: Members of a key that are compared all at once, links a member above which a key gives stars, comparisons at a time.
 SMALL, DENSE, AT_ONCE = 512, 4, 1 << 20
 
@@ -64,27 +69,85 @@ def key_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([none, *froms]), np.concatenate([none, *tos])
 
 
+def _links_of(key: np.ndarray, cell: np.ndarray, fps: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links of rows in order of key, cell and fingerprint: each group's are those of key_links."""
+    n = len(fps)
+    new = np.ones(n, bool)
+    new[1:] = (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])
+    starts = np.flatnonzero(new)
+    size = np.diff(np.append(starts, n))
+    group, begins = np.repeat(np.arange(len(starts)), size), np.repeat(starts, size)
+    large = size > SMALL
+    links, froms, tos = np.zeros(len(starts), np.int64), [], []
+    left, step = np.flatnonzero(~large[group]), 0
+    while True:
+        # every row with the one that stands so many places before it in its group
+        step += 1
+        left = left[(left - step >= begins[left]) & (links[group[left]] <= DENSE * size[group[left]])]
+        if not len(left):
+            break
+        hit = left[np.bitwise_count((fps[left] ^ fps[left - step]).view(np.uint64)) <= radius]
+        links += np.bincount(group[hit], minlength=len(starts))
+        froms.append(hit - step)
+        tos.append(hit)
+    dense = large | (links > DENSE * size)
+    if froms:
+        froms, tos = np.concatenate(froms), np.concatenate(tos)
+        plain = ~dense[group[tos]]
+        yield fps[froms[plain]], fps[tos[plain]]
+    for k in np.flatnonzero(dense):
+        yield key_links(fps[starts[k] : starts[k] + size[k]], radius)
+
+
+def _near_links(fps: DataFrame, masks: list[int], radius: int) -> DataFrame:
+    """Links (a, b) of the distinct fingerprints of fps (column fp) by tables of masks."""
+    spark = fps.sparkSession
+    bounded_batches(spark)
+    n, wide = fps.count(), np.array(masks, np.int64)
+    total = n * len(masks)
+    buckets = max(1, total // BUCKET_ROWS)
+    kinds = {"key": np.int64, "cell": np.int64, "fp": np.int64}
+
+    def keys(x: np.ndarray) -> np.ndarray:
+        """A hash of table and key, row by row; keys that share one are compared in vain."""
+        table = np.arange(1, len(wide) + 1, dtype=np.uint64) << np.uint64(56)
+        return blocks.mix((x[:, None] & wide[None, :]).view(np.uint64) + blocks.mix(table)[None, :]).view(np.int64).reshape(-1)
+
+    hot = spark.sparkContext.broadcast(blocks.hot(fps, lambda batch: keys(batch.column(0).to_numpy()), total, CELL))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            all_fps = batch.column(0).to_numpy()
+            for i in range(0, len(all_fps), max(1, blocks.HELD // len(wide))):
+                x = all_fps[i : i + max(1, blocks.HELD // len(wide))]
+                key, fp = keys(x), np.repeat(x, len(wide))
+                again, cell, _ = blocks.cells(key, blocks.mix(fp.view(np.uint64), 5), *hot.value)
+                rows = {"key": key[again], "cell": cell, "fp": fp[again]}
+                bucket = (blocks.mix(rows["key"].view(np.uint64) ^ blocks.mix(cell.view(np.uint64), 3), 9) % np.uint64(buckets)).astype(np.int64)
+                for b, block in blocks.dealt(rows, bucket, lambda y, at: {c: y[c][at] for c in kinds}):
+                    yield blocks.row(b, 0, block)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, some in blocks.by_bucket(batches):
+            x = blocks.joined([blocks.unpack(block, kinds) for _, block in some])
+            at = blocks.order(x, ("key", "cell", "fp"))
+            for a, b in _links_of(x["key"][at], x["cell"][at], x["fp"][at], radius):
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return blocks.shuffled(fps.select("fp").mapInArrow(deal, blocks.SCHEMA)).mapInArrow(compare, "a bigint, b bigint").distinct()
+
+
 def linked(prints: DataFrame, masks: list[int], col: str = "fp", radius: int = RADIUS) -> DataFrame:
     """Links (a, b), a < b, whose components are those of all pairs of fingerprints that differ in at most ``radius`` bits.
 
     Some mask must miss all differing bits of any such pair.
     """
     fps = prints.select(F.col(col).alias("fp"))
+    if radius != RADIUS:
+        return _near_links(fps, masks, radius)
     tables = F.array(*[F.struct(F.lit(i).cast("short").alias("t"), F.lit(m).cast("long").alias("m")) for i, m in enumerate(masks)])
     keyed = fps.select("fp", F.explode(tables).alias("x")).select("fp", F.col("x.t").alias("t"), F.col("fp").bitwiseAND(F.col("x.m")).alias("key"))
-    if radius != RADIUS:
-
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                lists = batch.column(0)
-                values, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-                for i, j in zip(at, at[1:]):
-                    a, b = key_links(values[i:j], radius)
-                    if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-        keys = keyed.groupBy("t", "key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-        return keys.select("fps").mapInArrow(compare, "a bigint, b bigint").distinct()
     held = keyed.groupBy("t", "key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
     held = written(held, "buckets")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
@@ -134,5 +197,6 @@ def grouped(prints: DataFrame, masks: list[int], id_col: str, print_col: str, gr
     roots = components(linked(fps, masks, "__fp", radius))
     known = fps.join(roots.select(F.col("node").alias("__fp"), "root"), "__fp", "left").withColumn("root", F.coalesce("root", "__fp"))
     least = known.groupBy("root").agg(F.min("__least").alias(group_col))
-    of = known.join(least, "root").select("__fp", group_col)
+    of = written(known.join(least, "root").select("__fp", group_col), "roots")
+    drop_written(fps)
     return rows.join(of, "__fp").select(*prints.columns, group_col)
