@@ -1,11 +1,13 @@
 """Operator 5: packing by power-of-two decomposition.
 
 A document's ids (with a closing id) are cut into pieces of binary lengths: as many of the context length as fit, then the
-powers of two of the rest, longest first. Every piece is a sequence of its own whose length is its bucket: no sequence crosses
-documents and no sequence is padded.
+powers of two of the rest, longest first. Pieces of one length are a bucket: the result is sorted by length, document and start,
+so that a bucket's sequences stand together and none crosses documents or is padded. sequence_id is a piece's place in that
+order, from 0 on, whatever the partitions of the input.
 
-Defined cases: a null text is an empty text, whose only id is the closing one; repeated rows are separate documents; other
-columns of the input are ignored; an empty table gives an empty table. A text of any length is packed whole.
+Defined cases: a null text is an empty text, whose only id is the closing one; repeated rows are separate documents, whose ids of
+sequences follow each other; null ids come first, ids that are no whole numbers are ordered by a hash; other columns of the input
+are ignored; an empty table gives an empty table. A text of any length is packed whole, by one task.
 """
 
 from __future__ import annotations
@@ -21,10 +23,10 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, file_bytes, rounds
+from .common import bounded_batches, drop_written, file_bytes, fresh, keyed, rounds, written
 
 CALL = 4096
 #: A worker remembers the ids of this many stretches and of this many words, about 200 bytes each.
@@ -129,7 +131,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: id_col, start, length, ids_crc32, doc_tokens, offset, ids binary if asked for, and sequence_id.
 
-    ``length`` is also the length of the piece's sequence and its bucket; partition a written table by it for training.
+    ``length`` is also the length of the piece's sequence, and its bucket.
     """
     if context < 1 or context & (context - 1):
         raise ValueError("context must be a power of two")
@@ -137,10 +139,12 @@ def pack(
     bounded_batches(spark)
     data = file_bytes(tokenizer_path)
     shared, key = spark.sparkContext.broadcast(data), hashlib.sha256(data).hexdigest()
-    docs = df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text"))
-    schema = f"`{id_col}` {docs.schema[0].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, offset long"
+    did, tie = fresh([id_col, text_col], "did", "tie")
+    docs = keyed(df.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), id_col, text_col, did, tie)
+    docs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(did).alias("did"), F.col(tie).alias("tie"), F.col(f"`{text_col}`").alias("text"))
+    names = ["id", "did", "tie", "start", "length", "ids_crc32", "doc_tokens", "offset", *["ids"] * with_ids]
+    schema = f"id {docs.schema[0].dataType.simpleString()}, did long, tie long, start long, length long, ids_crc32 long, doc_tokens long, offset long"
     schema += ", ids binary" * with_ids
-    names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "offset", *["ids"] * with_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _kept:
@@ -148,7 +152,7 @@ def pack(
             _kept[key] = WordEncoder(shared.value)
         encoder, closing = _kept[key], np.array([closing_id], "<u4").tobytes()
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
+            texts = ["" if t is None else t for t in batch.column(3).to_pylist()]
             for a, b in rounds(texts):
                 which, start, length, crc, total, bodies = [], [], [], [], [], []
                 for i, ids in enumerate(encoder.encode(texts[a:b]), a):
@@ -165,11 +169,22 @@ def pack(
                         bodies += map(bytes, cuts)
                 for c in range(0, len(which), OUT_ROWS):
                     d = slice(c, c + OUT_ROWS)
-                    zero = np.zeros(len(which[d]), np.int64)
+                    zero, at = np.zeros(len(which[d]), np.int64), pa.array(which[d])
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(which[d])), *(pa.array(x[d], pa.int64()) for x in (start, length, crc, total)), pa.array(zero)]
+                        [*(batch.column(k).take(at) for k in range(3)), *(pa.array(x[d], pa.int64()) for x in (start, length, crc, total)), pa.array(zero)]
                         + [pa.array(bodies[d], pa.binary())] * with_ids,
                         names,
                     )
 
-    return docs.mapInArrow(run, schema).withColumn("sequence_id", F.monotonically_increasing_id())
+    # written, as both the ranges' bounds and their rows are read from it
+    pieces = written(docs.mapInArrow(run, schema), "pieces")
+    order = ["length", "did", "tie", "start"]
+    dealt = pieces.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = written(dealt.drop("did", "tie").withColumn("at", F.monotonically_increasing_id()), "buckets")
+    drop_written(pieces)
+    # the number of a range and a row's place in it; a row per range is broadcast
+    sizes = dealt.groupBy(F.shiftright("at", 33).alias("range")).agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = dealt.withColumn("range", F.shiftright("at", 33)).join(F.broadcast(sizes.select("range", before.alias("before"))), "range")
+    place = F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)
+    return numbered.select(F.col("id").alias(id_col), *names[3:], place.alias("sequence_id"))
