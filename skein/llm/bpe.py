@@ -2,18 +2,20 @@
 
 Every pre-token is a row of byte ids in a matrix of its length class. In each round, every row merges its leftmost pair of
 minimum rank; pair ranks come from a hashed table, and finished rows are compacted away. Distinct pre-tokens are encoded once
-per worker (a bounded memo holds them).
+per worker (a bounded memo holds them). A row of over LONG bytes is linked instead of compacted, and a round merges all places of
+its minimum rank, from left to right; where a merge makes a pair of a lower rank, only the leftmost.
 
 Character classes of the pattern are those of the ``regex`` library's Unicode version.
 
 Defined cases: a null text is an empty text; an empty text has no ids; repeated rows give repeated results; other columns of
-the input are ignored; an empty table gives an empty table. A text of any length is encoded whole.
+the input are ignored; an empty table gives an empty table. A text of any length is encoded whole, by one task.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -26,6 +28,8 @@ from .common import MEMO_ENTRIES, file_bytes, map_texts
 #: Cells of one matrix at most (one row may be longer).
 CELLS = 1 << 18
 NO_PAIR = np.int32(2**31 - 1)
+#: Bytes of a pre-token from which on it is encoded by links.
+LONG = 2048
 
 
 def load_ranks(data: bytes) -> dict[bytes, int]:
@@ -127,6 +131,69 @@ class ByteBPE:
                 rank[every, left] = self.pairs.rank(rows[every, left], rows[every, left + 1])
         return out
 
+    def _merge_long(self, ids: np.ndarray) -> tuple[int, ...]:
+        """One row, in time that follows its merges: places wait by rank, and links lead over merged ones."""
+        n = len(ids)
+        ids = np.append(ids, np.int32(-1))
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        rank = np.append(self.pairs.rank(ids[:-1], ids[1:]), NO_PAIR)
+        waiting: dict[int, list[np.ndarray]] = {}
+
+        def wait(places: np.ndarray) -> list[int]:
+            """Ranks that had no place before."""
+            places = places[rank[places] != NO_PAIR]
+            places = places[np.argsort(rank[places], kind="stable")]
+            edges = np.flatnonzero(np.diff(rank[places], prepend=-1))
+            new = []
+            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(places)]):
+                r = int(rank[places[a]])
+                if r not in waiting:
+                    waiting[r] = []
+                    new.append(r)
+                waiting[r].append(places[a:b])
+            return new
+
+        heap = wait(np.arange(n))
+        heapify(heap)
+        while heap:
+            r = heappop(heap)
+            at = np.unique(np.concatenate(waiting.pop(r)))
+            at = at[rank[at] == r]
+            if not len(at):
+                continue
+            # of places that overlap, every other one
+            run = np.append(True, after[at[:-1]] != at[1:])
+            place = np.arange(len(at))
+            at = at[(place - np.maximum.accumulate(np.where(run, place, 0))) % 2 == 0]
+            for chosen in (at, at[:1]):
+                right = after[chosen]
+                follow, lead = after[right], before[chosen]
+                # ids as they are after this round
+                was = ids[chosen]
+                ids[chosen] = r
+                merged_right = np.where(np.isin(follow, chosen), np.int32(r), ids[np.minimum(follow, n)])
+                low = self.pairs.rank(np.full(len(chosen), r, np.int32), merged_right)
+                left_of = np.where(lead >= 0, lead, n)
+                # what stands before may be the merged pair of this round
+                ends = np.isin(left_of, right)
+                left_ids = np.where(ends, np.int32(r), ids[left_of])
+                lower = self.pairs.rank(left_ids, np.full(len(chosen), r, np.int32))
+                if len(chosen) == 1 or min(low.min(), lower.min()) > r:
+                    break
+                ids[chosen] = was
+            after[chosen] = follow
+            before[np.minimum(follow, n)] = np.where(follow <= n, chosen, before[n])
+            rank[right] = NO_PAIR
+            ids[right] = -1
+            lead = before[chosen]
+            touched = np.unique(np.concatenate([chosen, lead[lead >= 0]]))
+            rank[touched] = self.pairs.rank(ids[touched], ids[np.minimum(after[touched], n)])
+            if len(chosen) < len(at):
+                touched = np.concatenate([touched, at[1:]])
+            for new in wait(touched):
+                heappush(heap, new)
+        return tuple(ids[ids >= 0].tolist())
+
     def encode_pieces(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of each piece: length classes of powers of two, in matrices of a bounded size."""
         out: list[tuple[int, ...]] = [()] * len(pieces)
@@ -135,6 +202,8 @@ class ByteBPE:
             whole = self.ids.get(piece)
             if whole is not None:
                 out[i] = (whole,)
+            elif len(piece) > LONG:
+                out[i] = self._merge_long(self.byte_ids[np.frombuffer(piece, np.uint8)])
             elif piece:
                 classes.setdefault((len(piece) - 1).bit_length(), []).append(i)
         for width, members in sorted(classes.items()):
