@@ -5,7 +5,7 @@ by a temperature and a rejection score, folded into a table of fixed size and br
 
 Defined cases: a null text, an empty text and a text without a letter get ``und``, score 0 and a rejection; a text whose words
 are all unknown is scored by the bias; without labelled rows every text is ``und``; repeated rows give repeated results; other
-columns are ignored; an empty table gives an empty table.
+columns are ignored; a text of any length is scored whole, by one task; an empty table gives an empty table.
 """
 
 from __future__ import annotations

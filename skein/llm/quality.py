@@ -6,7 +6,8 @@ broadcast. Every text is scored whole; nothing but the text enters a score.
 
 Defined cases: a null text is an empty text, and an empty text is scored by the bias (the share of good labels); without labels,
 or with one label only, the score is that label's smoothed share; an id with several labels counts with the least; repeated rows
-give repeated results; other columns are ignored; an empty table gives an empty table.
+give repeated results; other columns are ignored (accepted keeps them, whatever their names); a text of any length is scored whole,
+by one task; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import fresh, map_texts
 from .folds import held_out, labelled_texts
 from .subword import Model, Scorer, Shape, train
 
@@ -65,12 +66,12 @@ def score(docs: DataFrame, model: Model, accept: float = ACCEPT, id_col: str = "
 def accepted(docs: DataFrame, model: Model, accept: float = ACCEPT, text_col: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, whose text scores at least ``accept``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
+    names, (keep,) = docs.columns, fresh(docs.columns, "keep")
 
     def make():
         scorer = Scorer(shared.value)
         good = scorer.model.classes.index(1)
-        return lambda texts: {"__keep": pa.array(scorer.probabilities(texts)[:, good] >= accept, pa.bool_())}
+        return lambda texts: {keep: pa.array(scorer.probabilities(texts)[:, good] >= accept, pa.bool_())}
 
-    marked = map_texts(docs, names, text_col, "__keep boolean", make)
-    return marked.where("__keep").select(*[F.col(f"`{c}`") for c in names])
+    marked = map_texts(docs, names, text_col, f"{keep} boolean", make)
+    return marked.where(keep).select(*[F.col(f"`{c}`") for c in names])

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, written
+from .common import fresh, map_texts, written
 from .components import grouped, signed
 
 SEED, WIDTH, BLOCK = 42, 3, 1 << 15
@@ -70,11 +70,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Rows of equal id and text are one document and stay once; rows of a null id go unless their group has no other.
     """
     text, names = F.col(f"`{text_col}`"), docs.columns
-    keyed = docs.withColumn("__tie", F.xxhash64(text))
-    groups = written(near_groups(keyed, id_col, text_col, ("__tie",)), "groups")
+    tie, gone_id, gone_tie = fresh([*names, "component_id"], "tie", "gone", "gone_tie")
+    rows = docs.withColumn(tie, F.coalesce(F.xxhash64(text), F.lit(0)))
+    groups = written(near_groups(rows, id_col, text_col, (tie,)), "groups")
     key = F.col(f"`{id_col}`")
-    gone = groups.where(~key.eqNullSafe(F.col("component_id"))).select(key.alias("__gone"), F.col("__tie").alias("__gone_tie")).distinct()
-    left = keyed.join(gone, key.eqNullSafe(F.col("__gone")) & (F.col("__tie") == F.col("__gone_tie")), "left_anti")
-    if not groups.groupBy(id_col, "__tie").count().where("count > 1").isEmpty():
-        left = left.dropDuplicates([id_col, "__tie"])
+    gone = groups.where(~key.eqNullSafe(F.col("component_id"))).select(key.alias(gone_id), F.col(tie).alias(gone_tie)).distinct()
+    left = rows.join(gone, key.eqNullSafe(F.col(gone_id)) & (F.col(tie) == F.col(gone_tie)), "left_anti")
+    if not groups.groupBy(f"`{id_col}`", tie).count().where("count > 1").isEmpty():
+        left = left.dropDuplicates([id_col, tie])
     return left.select(*[F.col(f"`{c}`") for c in names])

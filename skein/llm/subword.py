@@ -4,6 +4,10 @@ A text is cut at white space into words. The features of a word are the word its
 buckets; if word pairs are asked for, so is every pair of neighbours, where a word that repeats its neighbour is written as a
 back-reference. A text's vector is the mean of its features' vectors, and a softmax layer gives the classes' probabilities.
 
+A step follows the gradient of one text's loss. Rates differ: the bias takes a tenth of the rate of the output layer, and a text's
+embeddings take 0.1 dim / (the greatest share of its features) of it, so that a long text, whose features have small shares, moves
+its vectors as far as a short one.
+
 The network is linear up to the softmax, so that a trained model is folded into one table of a logit row per bucket: a text's
 logits are the mean of rows, and the rows of a word are summed once per worker.
 """
