@@ -2,6 +2,10 @@
 
 The stages' models learn from labelled rows of the tables in sf_dir; a stage's decisions cover every row of its docs. A document
 that loses all its lines to line deduplication is a copy and goes.
+
+Defined cases: a null or empty text scores as the share of good labels and fails the rules' base check; repeated rows of one id are
+one document, of which line and near deduplication keep one; null ids are allowed, and go first; other columns are carried along by
+all stages but the last, whatever their names; n_chars, where it is there, follows the text; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm import lines, packing, quality, rules, simhash
-from skein.llm.common import documents, written
+from skein.llm.common import documents, fresh, written
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,9 +31,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = lines.dedup_lines(docs, counts=("__lines", "__removed"))
-    left = left.where((F.col("__removed") == 0) | F.col("text").rlike(rules.WORD))
-    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    n_lines, n_removed = fresh(docs.columns, "lines", "removed")
+    left = lines.dedup_lines(docs, counts=(n_lines, n_removed))
+    left = left.where((F.col(n_removed) == 0) | F.col("text").rlike(rules.WORD))
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
