@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..policy import CONTROL_LITERALS, FIRST_BYTE_ID, RESERVED_MARK, SPECIAL_IDS, VOCABULARY
+from ..policy import CONTROL_LITERALS, FIRST_BYTE_ID, RESERVED_MARK, SPECIAL_IDS, START_LITERAL, TURN_LITERAL, VOCABULARY
 
 
 class Tokenizer(Protocol):
@@ -67,9 +67,13 @@ def encoder(make: Callable[[], Tokenizer], vocabulary: int = VOCABULARY) -> Call
 def decoder(make: Callable[[], Tokenizer], specials: dict[int, str], skip_special: bool = False) -> Callable[[Column], Column]:
     """A function of id columns: text, where runs of ordinary ids are decoded between special ids, which are written or skipped."""
 
+    kept: list[Tokenizer] = []
+
     @F.pandas_udf("string")
     def decode(rows: pd.Series) -> pd.Series:
-        tokenizer = make()
+        if not kept:
+            kept.append(make())
+        tokenizer = kept[0]
 
         def one(ids) -> str | None:
             if ids is None:
@@ -98,8 +102,8 @@ def suppressed(stop: int) -> Column:
 
 def render_chat(messages: Column, generation: bool = False) -> Column:
     """Start literal, then a marker, the content and an end of turn per message (array of struct role, content)."""
-    turns = F.transform(messages, lambda m: F.concat(F.lit("<|"), m["role"], F.lit("|>"), m["content"], F.lit("<|end_of_turn|>")))
-    return F.concat(F.lit("<s>"), F.array_join(turns, ""), F.lit("<|assistant|>" if generation else ""))
+    turns = F.transform(messages, lambda m: F.concat(F.lit("<|"), m["role"], F.lit("|>"), m["content"], F.lit(TURN_LITERAL)))
+    return F.concat(F.lit(START_LITERAL), F.array_join(turns, ""), F.lit("<|assistant|>" if generation else ""))
 
 
 def chat_reason(messages: Column) -> Column:

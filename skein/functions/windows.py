@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,9 +40,12 @@ def window_ranges(n: Column, length: int) -> Column:
 
 def byte_ids(text: Column, first: int = 19) -> Column:
     """Token ids of the UTF-8 bytes: byte + first."""
-    hexed = F.hex(F.encode(text, "UTF-8"))
-    pairs = F.regexp_extract_all(hexed, F.lit("[0-9A-F]{2}"), F.lit(0))
-    return F.transform(pairs, lambda x: F.conv(x, 16, 10).cast("int") + first)
+
+    @F.pandas_udf("array<int>")
+    def ids(data: pd.Series) -> pd.Series:
+        return data.map(lambda b: None if b is None else np.frombuffer(b, np.uint8).astype(np.int32) + np.int32(first))
+
+    return ids(F.encode(text, "UTF-8"))
 
 
 def wrap(body: Column, final: Column, bos: int = BOS, end: int = END_OF_DOCUMENT) -> Column:

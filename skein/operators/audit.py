@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import canonical_prompt, content_hash, shingles, words
 from ..policy import NEAR_JACCARD, SHINGLE_WORDS
+from .ordering import fixed
 
 
 def split_of_source(source: Column) -> Column:
@@ -50,33 +51,57 @@ def leakage(df: DataFrame, kinds: dict[str, str], split: str = "split") -> DataF
 
 
 def prompt_sets(df: DataFrame, id_col: str, text_col: str, split: str = "split", width: int = SHINGLE_WORDS) -> DataFrame:
-    """(split, digest, doc, shingles) of distinct canonical prompts of each split; doc is the least id."""
+    """(split, digest, doc, shingles) of distinct canonical prompts of each split; doc is the least id.
+
+    Prompts are told apart by their digests; no text is a key of a shuffle.
+    """
     rows = df.select(F.col(split).alias("split"), F.col(id_col).alias("doc"), canonical_prompt(F.col(text_col)).alias("prompt"))
-    rows = rows.groupBy("split", "prompt").agg(F.min("doc").alias("doc"))
     rows = rows.select("split", "doc", content_hash(F.col("prompt")).alias("digest"), words(F.col("prompt")).alias("words"))
-    return rows.select("split", "doc", "digest", shingles(F.col("words"), width).alias("shingles"))
+    rows = rows.select("split", "doc", "digest", F.transform(shingles(F.col("words"), width), lambda x: F.xxhash64(x)).alias("shingles"))
+    least = F.min(F.struct("doc", "shingles")).alias("x")
+    return rows.groupBy("split", "digest").agg(least).select("split", "x.doc", "digest", "x.shingles")
 
 
-def near_duplicates(left: DataFrame, right: DataFrame, least: float = NEAR_JACCARD) -> DataFrame:
+def near_duplicates(left: DataFrame, right: DataFrame, least: float = NEAR_JACCARD, apart: str | None = None) -> DataFrame:
     """(doc_l, doc_r, jaccard) of pairs of two prompt sets with a Jaccard similarity of ``least`` or more.
 
-    Prefix filter: in an order of hashes that both sides share, two such sets have a common member among the first
-    n - ceil(least n) + 1 of either. Only those are shuffled; candidates pass the length filter and are verified on their sets.
+    Prefix filter: in an order of rarity that both sides share, two such sets have a common member among the first
+    n - ceil(least n) + 1 of either. Only those are shuffled; candidates pass the length and the positional filter, and are
+    verified on their sets. With ``apart``, pairs whose values of that column differ, each once: train first, then validation.
     """
-
-    def side(df: DataFrame, s: str) -> tuple[DataFrame, DataFrame]:
-        sets = df.select(F.col("doc").alias(f"doc_{s}"), F.array_sort(F.transform("shingles", lambda x: F.xxhash64(x))).alias(f"set_{s}"))
-        n = F.size(f"set_{s}")
-        first = sets.select(
-            f"doc_{s}", n.alias(f"n_{s}"), F.explode(F.slice(f"set_{s}", F.lit(1), (n - F.ceil(n * least - 1e-9) + 1).cast("int"))).alias("member")
-        )
-        return sets, first
-
-    sets_l, first_l = side(left, "l")
-    sets_r, first_r = side(right, "r")
-    sized = (F.least("n_l", "n_r") >= F.greatest("n_l", "n_r") * least - 1e-9)
-    pairs = first_l.join(first_r, "member").where(sized).select("doc_l", "doc_r").distinct()
-    full = pairs.join(sets_l, "doc_l").join(sets_r, "doc_r")
+    columns = ["doc", "shingles", *[apart] * (apart is not None)]
+    sides = [fixed(x.select(*columns)) for x in ((left,) if left is right else (left, right))]
+    sides = sides * (2 if len(sides) == 1 else 1)
+    every = sides[0].select("shingles") if left is right else sides[0].select("shingles").unionByName(sides[1].select("shingles"))
+    # members of one set only join nothing
+    often = every.select(F.explode("shingles").alias("member")).groupBy("member").agg(F.count("*").alias("n")).where("n > 1")
+    often = fixed(often)
+
+    def side(sets: DataFrame, s: str) -> tuple[DataFrame, DataFrame]:
+        n = F.size("shingles")
+        held = sets.select("doc", *columns[2:], n.alias("size"), F.explode("shingles").alias("member")).join(often, "member")
+        # what is rare comes first; members of one set only are rarer than all others
+        row = [F.col("doc"), *map(F.col, columns[2:])]
+        order = F.sort_array(F.collect_list(F.struct(F.col("n"), F.col("member")))).alias("order")
+        rows = held.groupBy(*row, "size").agg(order)
+        alone = F.col("size") - F.size("order")
+        first = F.slice("order", F.lit(1), F.greatest(F.lit(0), F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1 - alone).cast("int"))
+        first = rows.select(*columns[:1], *columns[2:], "size", alone.alias("alone"), F.posexplode(first).alias("place", "x"))
+        named = {"doc": f"doc_{s}", "size": f"n_{s}", **({apart: f"apart_{s}"} if apart else {})}
+        first = first.select(*[F.col(a).alias(b) for a, b in named.items()], (F.col("place") + F.col("alone")).alias(f"place_{s}"), F.col("x.member").alias("member"))
+        whole = sets.select(F.col("doc").alias(f"doc_{s}"), F.col("shingles").alias(f"set_{s}"), *[F.col(c).alias(f"apart_{s}") for c in columns[2:]])
+        return whole, first
+
+    whole_l, first_l = side(sides[0], "l")
+    whole_r, first_r = side(sides[1], "r")
+    need = F.ceil((F.col("n_l") + F.col("n_r")) * (least / (1 + least)) - 1e-9)
+    keep = (F.least("n_l", "n_r") >= F.greatest("n_l", "n_r") * least - 1e-9) & (F.least(F.col("n_l") - F.col("place_l"), F.col("n_r") - F.col("place_r")) >= need)
+    ends = ["doc_l", "doc_r"]
+    if apart:
+        turn = lambda c: F.when(F.col(c) == "train", 0).when(F.col(c) == "validation", 1).otherwise(2)
+        keep, ends = keep & (turn("apart_l") < turn("apart_r")), [*ends, "apart_l", "apart_r"]
+    pairs = first_l.join(first_r.withColumnRenamed("member", "member_r"), (F.col("member") == F.col("member_r")) & keep).select(*ends).distinct()
+    full = pairs.join(whole_l, [c for c in ends if c.endswith("_l")]).join(whole_r, [c for c in ends if c.endswith("_r")])
     common = F.size(F.array_intersect("set_l", "set_r"))
     score = common / (F.size("set_l") + F.size("set_r") - common)
     return full.select("doc_l", "doc_r", score.alias("jaccard")).where(F.col("jaccard") >= least)

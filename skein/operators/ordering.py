@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 
 def fixed(df: DataFrame) -> DataFrame:
-    """df as checkpointed files in the shared folder of ``spark.checkpoint.dir``; a folder of its own only where that is unset."""
+    """df as checkpointed files in the shared folder of ``spark.checkpoint.dir``; a folder of its own in local mode only."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/skein")
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and context.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or "/tmp/checkpoints/skein")
     return df.checkpoint()
 
 

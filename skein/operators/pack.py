@@ -25,11 +25,16 @@ def windows(df: DataFrame, n_tokens: Column, length: int) -> DataFrame:
 
 def packed_rows(df: DataFrame, ids: str, length: int) -> DataFrame:
     """A row per window: RANGE, input_ids, labels, attention_mask and target_tokens, besides df's columns without ids."""
-    rows = windows(df, F.size(ids), length)
-    body = F.slice(ids, (F.col("token_start") + 1).cast("int"), (F.col("token_end") - F.col("token_start")).cast("int"))
-    # a generated column: filters on rows stay above it, else the optimizer would put all of it into their conditions
-    made = F.inline(F.array(F.struct(pad(wrap(body, F.col("is_final_document_window")), length).alias("input_ids"))))
-    rows = rows.select(*[c for c in rows.columns if c != ids], made)
+    rows = df.withColumn("document_token_count", F.size(ids).cast("long"))
+    # each window is cut out before the windows are rows: a row holds its own ids, not those of its document
+    cut = F.transform(
+        window_ranges(F.col("document_token_count"), length),
+        lambda w: F.struct(
+            *[w[a].alias(b) for a, b in zip(["chunk_index", "chunk_count", "token_start", "token_end", "final"], RANGE)],
+            pad(wrap(F.slice(ids, (w["token_start"] + 1).cast("int"), (w["token_end"] - w["token_start"]).cast("int")), w["final"]), length).alias("input_ids"),
+        ),
+    )
+    rows = rows.select(*[c for c in rows.columns if c != ids], F.inline(cut))
     rows = rows.withColumn("labels", labels(F.col("input_ids"))).withColumn("attention_mask", attention_mask(F.col("input_ids")))
     return rows.withColumn("target_tokens", target_count(F.col("labels")))
 

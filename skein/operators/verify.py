@@ -83,10 +83,10 @@ def _in_range(t: Column) -> Column:
     return (
         F.when(t["kind"] != "grounded_action", True)
         .when(t["number"] < 0, False)
-        .when(t["scenario"] == "stop_obstacle", t["obstacle_cm"].between(0, 5000) & t["braking_cm"].between(25, 300) & t["action"].isin("forward", "left", "right"))
-        .when(t["scenario"] == "cancel_action", t["action"].isin("move_forward", "open_door", "pick_object"))
-        .when(t["scenario"] == "object_presence", F.size(t["visible"]).between(2, 5))
-        .when(t["scenario"] == "action_sequence", F.size(t["required"]) == 3)
+        .when(t["scenario"] == "stop_obstacle", t["obstacle_cm"].between(1, 2400) & t["braking_cm"].between(10, 900) & t["action"].isNotNull())
+        .when(t["scenario"] == "cancel_action", t["action"].isNotNull())
+        .when(t["scenario"] == "object_presence", F.size(t["visible"]).between(1, 6))
+        .when(t["scenario"] == "action_sequence", (F.size(t["required"]) == 4) & (F.size(t["completed"]) >= 3))
         .otherwise(False)
     )
 

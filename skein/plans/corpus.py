@@ -151,7 +151,7 @@ def source_agreement(spark, sf_dir):
 
 @query(f"WITH {DOCS}, p AS (SELECT split, {PROMPT} AS p FROM docs) SELECT split, count(DISTINCT p) AS signatures FROM p GROUP BY split")
 def prompt_signature_counts(spark, sf_dir):
-    rows = _docs(spark, sf_dir).select("split", tx.canonical_prompt(F.col("text")).alias("p"))
+    rows = _docs(spark, sf_dir).select("split", tx.content_hash(tx.canonical_prompt(F.col("text"))).alias("p"))
     return rows.groupBy("split").agg(F.count_distinct("p").alias("signatures"))
 
 
@@ -195,33 +195,27 @@ def cross_split_exact_overlap(spark, sf_dir):
     return audit.cross_split(rows, "digest")
 
 
-@query(
-    f"WITH d AS (SELECT *, doc_id AS id, {SPLIT} AS split FROM documents), "
-    + _near_sql(_sets_sql("(SELECT * FROM d WHERE split = 'train')", "split"), _sets_sql("(SELECT * FROM d WHERE split <> 'train')", "split"), 0.85)
-)
-def cross_split_near_dup(spark, sf_dir):
-    sets = audit.prompt_sets(_docs(spark, sf_dir), "doc_id", "text")
-    return audit.near_duplicates(sets.where("split = 'train'"), sets.where("split <> 'train'"))
+_HELD_OUT = [_sets_sql(f"(SELECT * FROM d WHERE split {w})", "split") for w in ("= 'train'", "<> 'train'", "= 'validation'", "= 'blind'")]
+_WITH_SPLITS = f"WITH d AS (SELECT *, doc_id AS id, {SPLIT} AS split FROM documents), "
 
 
 @query(
-    f"WITH d AS (SELECT *, doc_id AS id, {SPLIT} AS split FROM documents), "
-    + _near_sql(_sets_sql("(SELECT * FROM d WHERE split = 'validation')", "split"), _sets_sql("(SELECT * FROM d WHERE split = 'blind')", "split"), 0.85)
+    f"SELECT * FROM ({_WITH_SPLITS}{_near_sql(_HELD_OUT[0], _HELD_OUT[1], 0.85)}) UNION ALL SELECT * FROM ({_WITH_SPLITS}{_near_sql(_HELD_OUT[2], _HELD_OUT[3], 0.85)})"
 )
-def held_out_near_dup(spark, sf_dir):
-    """The third pair of splits, which cross_split_near_dup and its SQL leave out."""
+def cross_split_near_dup(spark, sf_dir):
+    """All three pairs of splits: train with the others, and validation with blind."""
     sets = audit.prompt_sets(_docs(spark, sf_dir), "doc_id", "text")
-    return audit.near_duplicates(sets.where("split = 'validation'"), sets.where("split = 'blind'"))
+    return audit.near_duplicates(sets, sets, apart="split")
 
 
 @query(
     "WITH d AS (SELECT doc_id AS id, text, 'd' AS split FROM documents), b AS (SELECT item_id AS id, text, 'b' AS split FROM benchmark), "
-    + _near_sql(_sets_sql("d", "split"), _sets_sql("b", "split"), 0.5)
+    + _near_sql(_sets_sql("d", "split"), _sets_sql("b", "split"), 0.05)
 )
 def benchmark_near_dup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").withColumn("split", F.lit("d"))
     bench = _table(spark, sf_dir, "benchmark").withColumn("split", F.lit("b"))
-    return audit.near_duplicates(audit.prompt_sets(docs, "doc_id", "text"), audit.prompt_sets(bench, "item_id", "text"), 0.5)
+    return audit.near_duplicates(audit.prompt_sets(docs, "doc_id", "text"), audit.prompt_sets(bench, "item_id", "text"), 0.05)
 
 
 @query(
@@ -264,6 +258,23 @@ def nfc_normalized(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", tx.content_hash(tx.nfc(F.col("text"))).alias("nfc_sha256"))
 
 
+#: Texts and the spans of their numbers.
+NUMBER_CASES = [
+    ("9.81 m/s²", ["9.81 m"]), ("5 m²", ["5"]), ("x²5 6³", []), ("5m³", []), ("12 345,6 kg", ["12 345,6 kg"]), ("a1 1a _2", ["1a"]),
+    ("-3e-5 °C, +7%", ["-3e-5 °C", "+7%"]), ("60 km / h", ["60 km / h"]), ("1.2.3", ["1.2", "3"]), ("٣٤", ["٣٤"]), ("", []), ("1\x1cm", ["1\x1cm"]),
+]
+
+
+@query(
+    "SELECT * FROM (VALUES "
+    + ", ".join(f"({i}, [{', '.join(chr(39) + x + chr(39) for x in spans)}]::VARCHAR[])" for i, (_, spans) in enumerate(NUMBER_CASES))
+    + ") t(item, spans)"
+)
+def number_cases(spark, sf_dir):
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(NUMBER_CASES)], "item int, text string")
+    return rows.select("item", tx.numeric_spans(F.col("text")).alias("spans"))
+
+
 @query()
 def numeric_spans(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", tx.numeric_spans(F.col("text")).alias("spans")).where(F.size("spans") > 0)
@@ -324,17 +335,21 @@ def packing_cross_foot(spark, sf_dir):
     return pack.cross_foot(pack.report(win, ["lang"], 512), pack.report(win, [], 512))
 
 
-@query("SELECT '' AS field, 0::BIGINT AS declared, 0::BIGINT AS recounted WHERE false")
+@query(f"WITH {_windows_sql(512)} SELECT 'body_tokens' AS field, (sum(e - s) + 1)::BIGINT AS declared, sum(e - s)::BIGINT AS recounted FROM win")
 def packing_reconciliation(spark, sf_dir):
+    """The declared report has one body token too many: that field must differ, and no other."""
     win = _byte_windows(spark, sf_dir, 512)
     fields = ["documents", "chunks", "body_tokens", "input_tokens", "supervised_target_tokens", "padded_slots"]
     whole = pack.report(win, ["lang"], 512).agg(*[F.sum(f).alias(f) for f in fields])
-    return pack.reconciled(pack.report(win, [], 512), whole, fields)
+    return pack.reconciled(pack.report(win, [], 512), whole.withColumn("body_tokens", F.col("body_tokens") + 1), fields)
 
 
-@query("SELECT 0::BIGINT AS doc_id, '' AS reason WHERE false")
+@query(f"WITH {_windows_sql(512)} SELECT doc_id, 'offset' AS reason FROM win WHERE doc_id % 5 = 2 AND k = 1")
 def chunk_contiguity_audit(spark, sf_dir):
-    return pack.contiguity(_byte_windows(spark, sf_dir, 512), "doc_id", ["lang"])
+    """Window 1 of every fifth document begins a token late: the audit must name those that have one, and no other."""
+    late = (F.col("doc_id") % 5 == 2) & (F.col("chunk_index") == 1)
+    win = _byte_windows(spark, sf_dir, 512).withColumn("token_start", F.col("token_start") + late.cast("long"))
+    return pack.contiguity(win, "doc_id", ["lang"])
 
 
 @query(
@@ -366,9 +381,11 @@ def packed_row_counts(spark, sf_dir):
     )
 
 
-@query("SELECT 0::BIGINT AS doc_id, 0::BIGINT AS chunk_index, '' AS reject_reason WHERE false")
+@query(f"WITH {_windows_sql(256)} SELECT doc_id, k AS chunk_index, CASE WHEN f THEN 'offset' ELSE 'targets' END AS reject_reason FROM win WHERE doc_id % 11 = 4")
 def packed_row_admission(spark, sf_dir):
-    return pack.row_reasons(packed_windows(spark, sf_dir), 256).where("reject_reason IS NOT NULL").select("doc_id", "chunk_index", "reject_reason")
+    """Windows of every eleventh document end a token late: all of them must be rejected, and no other."""
+    rows = packed_windows(spark, sf_dir).withColumn("token_end", F.col("token_end") + (F.col("doc_id") % 11 == 4).cast("long"))
+    return pack.row_reasons(rows, 256).where("reject_reason IS NOT NULL").select("doc_id", "chunk_index", "reject_reason")
 
 
 @query(f"WITH {_windows_sql(512)}, o AS (SELECT doc_id, k, e - s + 1 + f::INT AS active, CAST(floor((row_number() OVER (ORDER BY doc_id, k) - 1) / 16) AS BIGINT) AS b FROM win) SELECT doc_id, k AS chunk_index, b AS micro_batch, max(active) OVER (PARTITION BY b)::BIGINT AS longest FROM o")
@@ -407,15 +424,17 @@ def shard_cuts_fixed(spark, sf_dir):
     return pack.fixed_shards(rows, ["lang"], ["doc_id"], "n", 20_000).drop("n")
 
 
-_SCHEDULE_SQL = """x AS (SELECT doc_id, lang, strlen(text) + 1 AS t, unnest(range(0, 2)) AS epoch FROM documents WHERE lang IN ('en', 'fr')),
+# The mix over every language of the table, equally weighted, and over all positions of both epochs.
+_SCHEDULE_SQL = """x AS (SELECT doc_id, lang, strlen(text) + 1 AS t, unnest(range(0, 2)) AS epoch FROM documents WHERE lang IS NOT NULL),
 p AS (SELECT *, row_number() OVER (PARTITION BY lang, epoch ORDER BY sha256('42:' || epoch || ':' || doc_id), doc_id) - 1 AS pos FROM x),
 b AS (SELECT *, coalesce(sum(t) OVER (PARTITION BY lang ORDER BY epoch, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p),
-s AS (SELECT *, row_number() OVER (ORDER BY before / CAST(0.5 AS DOUBLE), lang, epoch, pos) - 1 AS position FROM b)"""
+s AS (SELECT *, row_number() OVER (ORDER BY before / (1 / CAST((SELECT count(DISTINCT lang) FROM documents) AS DOUBLE)), lang, epoch, pos) - 1 AS position FROM b)"""
 
 
 def _schedule(spark, sf_dir):
-    rows = _docs(spark, sf_dir).select("doc_id", "lang", (BYTES("text") + 1).cast("long").alias("t"))
-    return mix.schedule(rows, "lang", "doc_id", "t", {"en": 0.5, "fr": 0.5}, 42, 2), rows
+    rows = _docs(spark, sf_dir).where("lang IS NOT NULL").select("doc_id", "lang", (BYTES("text") + 1).cast("long").alias("t"))
+    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    return mix.schedule(rows, "lang", "doc_id", "t", {g: 1 / len(langs) for g in langs}, 42, 2), rows
 
 
 @query(f"WITH {_SCHEDULE_SQL} SELECT position, doc_id, lang, epoch::INT AS epoch, before::BIGINT AS before FROM s")
@@ -424,76 +443,39 @@ def mix_schedule(spark, sf_dir):
 
 
 @query(
-    f"""WITH {_SCHEDULE_SQL}, q AS (SELECT * FROM s WHERE position < 300), pool AS (SELECT lang, count(*) AS pool FROM documents WHERE lang IN ('en', 'fr') GROUP BY lang),
-g AS (SELECT pool.lang, coalesce(sum(t), 0)::BIGINT AS tokens, count(t) AS presentations, any_value(pool) AS pool FROM pool LEFT JOIN q USING (lang) GROUP BY pool.lang)
+    f"""WITH {_SCHEDULE_SQL}, pool AS (SELECT lang, count(*) AS pool FROM documents WHERE lang IS NOT NULL GROUP BY lang),
+g AS (SELECT lang, sum(t)::BIGINT AS tokens, count(*) AS presentations, any_value(pool) AS pool FROM s JOIN pool USING (lang) GROUP BY lang)
 SELECT lang, tokens, tokens / CAST(sum(tokens) OVER () AS DOUBLE) AS fraction, presentations, least(presentations, pool) AS unique_rows,
 presentations - least(presentations, pool) AS reused_presentations FROM g"""
 )
 def mix_report(spark, sf_dir):
-    scheduled, rows = _schedule(spark, sf_dir)
-    return mix.report(scheduled.where("position < 300"), rows.where("lang IN ('en', 'fr')"), "lang", "t")
+    return mix.report(*_schedule(spark, sf_dir), "lang", "t")
 
 
 @query(
-    f"""WITH {_SCHEDULE_SQL}, q AS (SELECT lang, sum(t)::BIGINT AS t, max(t) AS m FROM s WHERE position < 150 GROUP BY lang)
+    f"""WITH {_SCHEDULE_SQL}, q AS (SELECT lang, sum(t)::BIGINT AS t, max(t) AS m FROM s GROUP BY lang)
 SELECT max(t) - min(t) AS imbalance, max(m) AS most_row_tokens, max(t) - min(t) <= max(m) AS balanced FROM q"""
 )
 def mix_imbalance(spark, sf_dir):
-    return mix.imbalance(_schedule(spark, sf_dir)[0].where("position < 150"), "lang", "t")
+    return mix.imbalance(_schedule(spark, sf_dir)[0], "lang", "t")
 
 
-@query("SELECT 25::BIGINT AS rows, true AS is_prefix, 25::BIGINT AS resume_at")
+@query("SELECT 2 * count(*) AS rows, true AS is_prefix, 2 * count(*) AS resume_at FROM documents WHERE lang IS NOT NULL")
 def delivery_acknowledgement(spark, sf_dir):
     scheduled = _schedule(spark, sf_dir)[0].select("position", "doc_id")
-    return mix.acknowledged(scheduled, scheduled.where("position < 25"), "doc_id")
-
-
-# The mix over every language of the table, equally weighted, and over all positions of both epochs.
-_WHOLE_SQL = """x AS (SELECT doc_id, lang, strlen(text) + 1 AS t, unnest(range(0, 2)) AS epoch FROM documents WHERE lang IS NOT NULL),
-p AS (SELECT *, row_number() OVER (PARTITION BY lang, epoch ORDER BY sha256('42:' || epoch || ':' || doc_id), doc_id) - 1 AS pos FROM x),
-b AS (SELECT *, coalesce(sum(t) OVER (PARTITION BY lang ORDER BY epoch, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p),
-s AS (SELECT *, row_number() OVER (ORDER BY before / (1 / CAST((SELECT count(DISTINCT lang) FROM documents) AS DOUBLE)), lang, epoch, pos) - 1 AS position FROM b)"""
-
-
-def _whole_schedule(spark, sf_dir):
-    rows = _docs(spark, sf_dir).where("lang IS NOT NULL").select("doc_id", "lang", (BYTES("text") + 1).cast("long").alias("t"))
-    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
-    return mix.schedule(rows, "lang", "doc_id", "t", {g: 1 / len(langs) for g in langs}, 42, 2), rows
-
-
-@query(f"WITH {_WHOLE_SQL} SELECT position, doc_id, lang, epoch::INT AS epoch, before::BIGINT AS before FROM s")
-def mix_schedule_whole(spark, sf_dir):
-    return _whole_schedule(spark, sf_dir)[0].select("position", "doc_id", "lang", "epoch", "before")
-
-
-@query(
-    f"""WITH {_WHOLE_SQL}, pool AS (SELECT lang, count(*) AS pool FROM documents WHERE lang IS NOT NULL GROUP BY lang),
-g AS (SELECT lang, sum(t)::BIGINT AS tokens, count(*) AS presentations, any_value(pool) AS pool FROM s JOIN pool USING (lang) GROUP BY lang)
-SELECT lang, tokens, tokens / CAST(sum(tokens) OVER () AS DOUBLE) AS fraction, presentations, least(presentations, pool) AS unique_rows,
-presentations - least(presentations, pool) AS reused_presentations FROM g"""
-)
-def mix_report_whole(spark, sf_dir):
-    return mix.report(*_whole_schedule(spark, sf_dir), "lang", "t")
+    return mix.acknowledged(scheduled, scheduled, "doc_id")
 
 
 @query(
-    f"""WITH {_WHOLE_SQL}, q AS (SELECT lang, sum(t)::BIGINT AS t, max(t) AS m FROM s GROUP BY lang)
-SELECT max(t) - min(t) AS imbalance, max(m) AS most_row_tokens, max(t) - min(t) <= max(m) AS balanced FROM q"""
+    """SELECT DISTINCT lang, 1::INT AS epoch, 'missing' AS reason FROM documents WHERE lang = 'fr' AND doc_id % 5 = 0
+UNION ALL SELECT DISTINCT lang, 0::INT, 'repeated' FROM documents WHERE lang = 'de' AND doc_id % 7 = 0"""
 )
-def mix_imbalance_whole(spark, sf_dir):
-    return mix.imbalance(_whole_schedule(spark, sf_dir)[0], "lang", "t")
-
-
-@query("SELECT 2 * count(*) AS rows, true AS is_prefix, 2 * count(*) AS resume_at FROM documents WHERE lang IS NOT NULL")
-def delivery_acknowledgement_whole(spark, sf_dir):
-    scheduled = _whole_schedule(spark, sf_dir)[0].select("position", "doc_id")
-    return mix.acknowledged(scheduled, scheduled, "doc_id")
-
-
-@query("SELECT '' AS lang, 0::INT AS epoch, '' AS reason WHERE false")
 def schedule_state_audit(spark, sf_dir):
-    rows = _docs(spark, sf_dir).select("doc_id", "lang")
-    return mix.state_reasons(mix.permuted(rows, "lang", "doc_id", 42, 2), rows, "lang", "doc_id")
+    """Every fifth French document is lost from epoch 1, and every seventh German one stands twice in epoch 0."""
+    rows = _docs(spark, sf_dir).where("lang IS NOT NULL").select("doc_id", "lang")
+    state = mix.permuted(rows, "lang", "doc_id", 42, 2)
+    twice = state.where("lang = 'de' AND doc_id % 7 = 0 AND epoch = 0")
+    return mix.state_reasons(state.where("NOT (lang = 'fr' AND doc_id % 5 = 0 AND epoch = 1)").unionByName(twice), rows, "lang", "doc_id")
 
 
 def _messages(spark, sf_dir):
@@ -501,7 +483,7 @@ def _messages(spark, sf_dir):
     return rows.select("conv_id", F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))
 
 
-@query("SELECT conv_id, sha256('<s>' || string_agg('<|' || role || '|>' || text || '<|end_of_turn|>', '' ORDER BY turn) || '<|assistant|>') AS rendered_sha256 FROM conversations GROUP BY conv_id")
+@query("SELECT conv_id, sha256('<|bos|>' || string_agg('<|' || role || '|>' || text || '<|eot|>', '' ORDER BY turn) || '<|assistant|>') AS rendered_sha256 FROM conversations GROUP BY conv_id")
 def chat_render(spark, sf_dir):
     return _messages(spark, sf_dir).select("conv_id", tx.content_hash(tk.render_chat(F.col("messages"), True)).alias("rendered_sha256"))
 
@@ -530,6 +512,10 @@ def chat_supervision_lengths(spark, sf_dir):
     return rows.select("conv_id", "prefix_tokens", F.size("a").cast("long").alias("answer_tokens"), F.size(F.filter(labels, lambda x: x != -100)).cast("long").alias("supervised"))
 
 
+#: Records of a family; identity families have fewer.
+FAMILY_RECORDS, IDENTITY_RECORDS = 4096, {"train": 1400, "validation": 350, "blind": 350}
+
+
 def _families() -> list[dict]:
     made = []
     for lang in ("en", "ru"):
@@ -547,11 +533,12 @@ def _families() -> list[dict]:
     return made
 
 
-FAMILY_RECORDS = 64
+def _counted() -> list[dict]:
+    return [f | {"records_per_family": IDENTITY_RECORDS[f["split"]] if f["task_kind"] == "identity" else FAMILY_RECORDS} for f in _families()]
 
 
 def _records(spark):
-    return generate.records(spark, _families(), FAMILY_RECORDS)
+    return generate.records(spark, _counted(), FAMILY_RECORDS)
 
 
 def _generated_sql(pos: int, op: str) -> str:
@@ -559,7 +546,7 @@ def _generated_sql(pos: int, op: str) -> str:
     side = 96 if op == "divide" else 9998
     m, o = generate.affine_constants(family, side * side)
     pair = f"(({m} * i + {o}) % {side * side})"
-    left, right = (f"(2 + {pair} % {side}) * (2 + {pair} // {side})", f"2 + {pair} % {side}") if op == "divide" else (f"2 + {pair} // {side}", f"2 + {pair} % {side}")
+    left, right = f"(2 + {pair} % {side})" + (f" * (2 + {pair} // {side})" if op == "divide" else ""), f"2 + {pair} // {side}"
     value = {"add": "l + r", "subtract": "l - r", "multiply": "l * r", "divide": "l // r"}[op]
     return f"SELECT '{family}' AS family_id, i AS ordinal, l AS \"left\", r AS \"right\", CAST({value} AS VARCHAR) AS answer FROM (SELECT i, CAST({left} AS BIGINT) AS l, CAST({right} AS BIGINT) AS r FROM (SELECT unnest(range(0, {FAMILY_RECORDS})) AS i))"
 
@@ -579,28 +566,38 @@ def generated_location(spark, sf_dir):
     return _records(spark).where("generator_id = 'location'").select("family_id", "ordinal", "task.start", "task.moves", "answer")
 
 
-@query(f"SELECT count(*) AS records, count(*) AS verified FROM range({FAMILY_RECORDS * len(_families())})")
+@query(f"SELECT count(*) AS records, count(*) AS verified FROM range({sum(f["records_per_family"] for f in _counted())})")
 def verified_records(spark, sf_dir):
     rows = verify.verified(_records(spark))
     return rows.agg(F.count("*").alias("records"), F.count_if(F.col("reject_reason").isNull()).alias("verified"))
 
 
-@query(f"SELECT count(*) AS records, count(*) AS admitted FROM range({FAMILY_RECORDS * len(_families())})")
+@query(f"SELECT count(*) AS records, count(*) AS admitted FROM range({sum(f["records_per_family"] for f in _counted())})")
 def admitted_records(spark, sf_dir):
-    rows = verify.admitted(_records(spark), generate.families(spark, _families(), FAMILY_RECORDS), generate.ROOT_SEED)
+    rows = verify.admitted(_records(spark), generate.families(spark, _counted(), FAMILY_RECORDS), generate.ROOT_SEED)
     return rows.agg(F.count("*").alias("records"), F.count_if(F.col("reject_reason").isNull()).alias("admitted"))
 
 
-@query(f"SELECT generator_id, n::BIGINT AS records, n::BIGINT AS rejected FROM (VALUES {', '.join(f'({chr(39)}{k}{chr(39)}, {FAMILY_RECORDS * sum(f['task_kind'] == k for f in _families())})' for k in ('arithmetic', 'mode_transition', 'inventory', 'location', 'grounded_action', 'identity'))}) t(generator_id, n)")
+@query(f"SELECT generator_id, n::BIGINT AS records, n::BIGINT AS rejected FROM (VALUES {', '.join(f'({chr(39)}{k}{chr(39)}, {sum(f['records_per_family'] for f in _counted() if f['task_kind'] == k)})' for k in ('arithmetic', 'mode_transition', 'inventory', 'location', 'grounded_action', 'identity'))}) t(generator_id, n)")
 def tampered_records(spark, sf_dir):
     """Every answer is changed: the verifier must reject every record."""
     rows = verify.verified(_records(spark).withColumn("answer", F.concat(F.col("answer"), F.lit("0"))))
     return rows.groupBy("generator_id").agg(F.count("*").alias("records"), F.count_if(F.col("reject_reason") == "answer").alias("rejected"))
 
 
-@query("SELECT '' AS family_id, '' AS reject_reason WHERE false")
+@query(
+    "SELECT * FROM (VALUES ('xx.tongue', 'language'), ('en.twice', 'family_id'), ('en.twice', 'family_id'), ('en.left', 'isolation'), ('en.right', 'isolation'),"
+    " ('en.kind', 'task_kind'), ('en.scene', 'scenario'), ('en.part', 'split')) t(family_id, reject_reason)"
+)
 def family_validation(spark, sf_dir):
-    return verify.family_reasons(generate.families(spark, _families(), FAMILY_RECORDS))
+    """Eight broken families among good ones: each must be named with its reason, and no other."""
+    plain = {"language": "en", "split": "train", "task_kind": "identity"}
+    broken = [{"family_id": "xx.tongue", "language": "xx"}, {"family_id": "en.twice"}, {"family_id": "en.twice"}, {"family_id": "en.left", "template_family": "shared"},
+              {"family_id": "en.right", "template_family": "shared", "split": "blind"}, {"family_id": "en.kind", "task_kind": "riddle"},
+              {"family_id": "en.scene", "task_kind": "grounded_action", "scenario": "flight"}, {"family_id": "en.part", "split": "test"}]
+    groups = lambda i: {g: f"broken{i}.{g}" for g in ("functional_family", "template_family", "scenario_family")}
+    rows = _families() + [plain | groups(i) | b for i, b in enumerate(broken)]
+    return verify.family_reasons(generate.families(spark, rows, 1))
 
 
 @query("SELECT 'en.location.blind' AS family_id, 50000::BIGINT AS records_per_family, 40401 AS space UNION ALL SELECT 'ru.location.blind', 50000, 40401 UNION ALL SELECT 'en.arithmetic.divide.blind', 50000, 9216 UNION ALL SELECT 'ru.arithmetic.divide.blind', 50000, 9216")
@@ -608,7 +605,7 @@ def capacity_guard(spark, sf_dir):
     return verify.capacity_reasons(generate.families(spark, _families(), 50_000))
 
 
-@query(f"SELECT split, lang AS language, (n * {FAMILY_RECORDS})::BIGINT AS records FROM (VALUES " + ", ".join(f"('{s}', '{g}', {sum(f['split'] == s and f['language'] == g for f in _families())})" for s in ("train", "validation", "blind") for g in ("en", "ru")) + ") t(split, lang, n)")
+@query(f"SELECT split, lang AS language, n::BIGINT AS records FROM (VALUES " + ", ".join(f"('{s}', '{g}', {sum(f['records_per_family'] for f in _counted() if f['split'] == s and f['language'] == g)})" for s in ("train", "validation", "blind") for g in ("en", "ru")) + ") t(split, lang, n)")
 def generated_counts(spark, sf_dir):
     return _records(spark).groupBy("split", "language").agg(F.count("*").alias("records"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Splits, languages, kinds of tasks and scenarios.
 SPLITS = ("train", "validation", "blind")
 LANGUAGES = ("en", "ru")
 TASK_KINDS = ("arithmetic", "mode_transition", "inventory", "location", "grounded_action", "identity")
@@ -18,7 +19,9 @@ CONTROL_NAMES = (
     "system", "user", "assistant", "code", "language", "fim_prefix", "fim_suffix", "fim_middle", "repo", "file", "tool_call",
     "tool_response", "document", "reasoning",
 )
-CONTROL_LITERALS = ("<unk>", "<s>", "</s>", "<pad>", "<eod>", *(f"<|{n}|>" for n in CONTROL_NAMES), "<|end_of_turn|>")
+CORE_NAMES = ("unk", "bos", "eot", "pad", "end_of_text")
+CONTROL_LITERALS = tuple(f"<|{n}|>" for n in (*CORE_NAMES, *CONTROL_NAMES))
+START_LITERAL, TURN_LITERAL = "<|bos|>", "<|eot|>"
 RESERVED_MARK = "▁"
 DIRECTIONS = ("north", "south", "east", "west", "север", "юг", "восток", "запад")
 
