@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..policy import CONTROL_LITERALS, FIRST_BYTE_ID, RESERVED_MARK, SPECIAL_IDS, START_LITERAL, TURN_LITERAL, VOCABULARY
+from ..policy import BOS, CONTROL_LITERALS, CONTROL_NAMES, CORE_NAMES, END_OF_TURN, FIRST_BYTE_ID, RESERVED_MARK, SPECIAL_IDS, START_LITERAL, TURN_LITERAL, VOCABULARY
 
 
 class Tokenizer(Protocol):
@@ -29,6 +29,29 @@ class ByteTokenizer:
         return bytes(i - FIRST_BYTE_ID for i in ids).decode()
 
 
+class FileTokenizer:
+    """A public tokenizer's file behind the special ids: JSON of ``tokenizers``, or a ``sentencepiece`` model. Adds no special tokens."""
+
+    def __init__(self, path: str):
+        if path.endswith(".model"):
+            import sentencepiece
+
+            model = sentencepiece.SentencePieceProcessor(model_file=path)
+            self._ids, self._text = model.encode, model.decode
+        else:
+            import tokenizers
+
+            model = tokenizers.Tokenizer.from_file(path)
+            self._ids = lambda text: model.encode(text, add_special_tokens=False).ids
+            self._text = lambda ids: model.decode(ids, skip_special_tokens=False)
+
+    def encode(self, text: str) -> list[int]:
+        return [i + FIRST_BYTE_ID for i in self._ids(text)]
+
+    def decode(self, ids: list[int]) -> str:
+        return self._text([i - FIRST_BYTE_ID for i in ids])
+
+
 def encoder(make: Callable[[], Tokenizer], vocabulary: int = VOCABULARY) -> Callable[[Column], Column]:
     """A function of text columns: struct(ids, reason). The tokenizer is made once per worker.
 
@@ -106,6 +129,30 @@ def render_chat(messages: Column, generation: bool = False) -> Column:
     return F.concat(F.lit(START_LITERAL), F.array_join(turns, ""), F.lit("<|assistant|>" if generation else ""))
 
 
+def contents_encoder(make: Callable[[], Tokenizer]) -> Callable[[Column], Column]:
+    """A function of columns of arrays of texts: the ids of each, in NFC; a null text has none. The tokenizer is made once per worker."""
+    kept: list[Tokenizer] = []
+
+    @F.pandas_udf("array<array<int>>")
+    def encode(rows: pd.Series) -> pd.Series:
+        if not kept:
+            kept.append(make())
+        return rows.map(lambda texts: None if texts is None else [kept[0].encode(unicodedata.normalize("NFC", t or "")) for t in texts])
+
+    return encode
+
+
+def chat_ids(messages: Column, encode: Callable[[Column], Column]) -> Column:
+    """Ids of a chat: one start id; per message its role's marker, its content's ids and an end of turn. Nothing is cut off.
+
+    ``encode`` is a contents_encoder; messages that chat_reason rejects have null ids.
+    """
+    marker = lambda m: (F.array_position(F.array(*[F.lit(n) for n in CONTROL_NAMES]), m["role"]) + len(CORE_NAMES) - 1).cast("int")
+    contents = encode(F.transform(messages, lambda m: m["content"]))
+    turns = F.zip_with(messages, contents, lambda m, ids: F.concat(F.array(marker(m)), ids, F.array(F.lit(END_OF_TURN))))
+    return F.when(chat_reason(messages).isNull(), F.concat(F.array(F.lit(BOS)), F.flatten(turns)))
+
+
 def chat_reason(messages: Column) -> Column:
     """Why messages cannot be rendered, or null: empty, role, content."""
     literal = lambda m: F.exists(F.array(*[F.lit(c) for c in (*CONTROL_LITERALS, RESERVED_MARK)]), lambda c: F.contains(m["content"], c))

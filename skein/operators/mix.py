@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import numbered
+from .ordering import numbered, placed
 
 
-def permuted(df: DataFrame, group: str, row_id: str, seed: int, epochs: int) -> DataFrame:
-    """df, epochs times, with epoch and pos: each epoch of a group is a permutation by hashes of seed, epoch and row."""
+def _cycled(df: DataFrame, row_id: str, seed: int, epochs: int) -> DataFrame:
+    """df, epochs times, with epoch and the hash of seed, epoch and row that orders it."""
     rows = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     key = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), F.col(row_id).cast("string")).cast("binary"), 256)
-    w = Window.partitionBy(group, "epoch").orderBy("__key", row_id)
-    return rows.withColumn("__key", key).withColumn("pos", F.row_number().over(w) - 1).drop("__key")
+    return rows.withColumn("__key", key)
 
 
-def progress(df: DataFrame, group: str, order: list[str], tokens: str) -> Column:
-    """Tokens of a group before a row."""
-    w = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(tokens).over(w), F.lit(0))
+def permuted(df: DataFrame, group: str, row_id: str, seed: int, epochs: int) -> DataFrame:
+    """df, epochs times, with epoch and pos: each epoch of a group is a permutation by hashes of seed, epoch and row."""
+    return placed(_cycled(df, row_id, seed, epochs), [group, "epoch"], ["__key", row_id], "pos").drop("__key")
 
 
 def schedule(df: DataFrame, group: str, row_id: str, tokens: str, weights: dict[str, float], seed: int, epochs: int, rows: int | None = None) -> DataFrame:
@@ -32,9 +30,11 @@ def schedule(df: DataFrame, group: str, row_id: str, tokens: str, weights: dict[
         raise ValueError("weights must be positive and add up to one")
     rank = F.create_map(*[F.lit(x) for i, g in enumerate(weights) for x in (g, i)])
     share = F.create_map(*[F.lit(x) for g, w in weights.items() for x in (g, float(w))])
-    cycled = permuted(df.where(F.col(group).isin(*weights)), group, row_id, seed, epochs)
-    keyed = cycled.withColumn("before", progress(cycled, group, ["epoch", "pos"], tokens))
-    keyed = keyed.withColumns({"progress": F.col("before") / share[F.col(group)], "code": rank[F.col(group)]})
+    pool = df.where(F.col(group).isin(*weights))
+    keyed = placed(_cycled(pool, row_id, seed, epochs), [group], ["epoch", "__key", row_id], "pos", tokens).drop("__key")
+    # a group's epochs are of one length
+    keyed = keyed.join(pool.groupBy(group).agg(F.count("*").alias("__pool")), group).withColumn("pos", F.col("pos") - F.col("epoch") * F.col("__pool"))
+    keyed = keyed.drop("__pool").withColumns({"progress": F.col("before") / share[F.col(group)], "code": rank[F.col(group)]})
     order = ["progress", "code", "epoch", "pos"]
     chosen = keyed.orderBy(*order) if rows is None else keyed.orderBy(*order).limit(rows)
     return numbered(chosen, order)
@@ -89,6 +89,5 @@ def state_reasons(state: DataFrame, pool: DataFrame, group: str, row_id: str) ->
 
 
 def within_budget(df: DataFrame, order: list[str], tokens: str, budget: int, by: list[str] | None = None) -> DataFrame:
-    """Rows up to the one that reaches the budget: training stops at a step's border. Over step totals, so small."""
-    w = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("consumed_before", F.coalesce(F.sum(tokens).over(w), F.lit(0))).where(F.col("consumed_before") < budget)
+    """Rows up to the one that reaches the budget: training stops at a step's border."""
+    return placed(df, by or [], order, "__place", tokens, "consumed_before").drop("__place").where(F.col("consumed_before") < budget)

@@ -17,15 +17,29 @@ def fixed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def numbered(df: DataFrame, order: list[str], column: str = "position") -> DataFrame:
-    """df with ``column``, the place in a total order: sorted ranges, then the counts of the ranges before (one row per range).
+def placed(df: DataFrame, by: list[str], order: list[str], column: str = "position", amount: str | None = None, before: str = "before") -> DataFrame:
+    """df with ``column``, a row's place in the total order of its group, and with ``amount`` its sum over the rows ahead in ``before``.
 
-    The ranges are checkpointed, as both steps must see the same ones.
+    A group is not read by one task: rows are dealt to sorted ranges of group and order, and what the ranges ahead hold (one row per
+    group and range) is added. The ranges are checkpointed, as both steps must see the same ones. Null is a group of its own.
     """
-    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
     dealt = fixed(dealt.withColumn("__part", F.spark_partition_id()))
-    within = dealt.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1)
-    sizes = dealt.groupBy("__part").agg(F.count("*").alias("__size"))
-    before = F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("__part", before.alias("__start"))
-    return within.join(starts, "__part").withColumn(column, (F.col("__start") + F.col("__n")).cast("long")).drop("__part", "__n", "__start")
+    dealt = dealt.withColumn("__at", F.struct("__part", *by)).drop("__part")
+    rows = Window.partitionBy("__at").orderBy(*order)
+    sums, ahead = {"__size": F.count("*")}, {column: "__size"}
+    within = {column: F.row_number().over(rows) - 1}
+    if amount is not None:
+        sums["__amount"], ahead[before] = F.sum(amount), "__amount"
+        within[before] = F.coalesce(F.sum(amount).over(rows.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    earlier = Window.partitionBy(*[F.col("__at")[c] for c in by]).orderBy(F.col("__at")["__part"]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("__at").agg(*[v.alias(n) for n, v in sums.items()])
+    starts = starts.select("__at", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"__before{n}") for n in sums])
+    out = dealt.withColumns(within).join(starts, "__at")
+    out = out.withColumns({c: F.col(c) + F.col(f"__before{n}") for c, n in ahead.items()}).withColumn(column, F.col(column).cast("long"))
+    return out.drop("__at", *[f"__before{n}" for n in sums])
+
+
+def numbered(df: DataFrame, order: list[str], column: str = "position") -> DataFrame:
+    """df with ``column``, the place in a total order of all rows."""
+    return placed(df, [], order, column)

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.windows import attention_mask, labels, packed_reject, pad, target_count, trimmed, window_ranges, wrap
-from ..policy import SHARD_SLOTS
-from .ordering import numbered
+from ..policy import GENERATOR_VERSION, SHARD_SLOTS, VERIFIER_VERSION, WINDOW_SEMANTICS
+from .ordering import numbered, placed
+from .verify import first_reason
 
 RANGE = ["chunk_index", "chunk_count", "token_start", "token_end", "is_final_document_window"]
 
@@ -95,18 +96,50 @@ def contiguity(win: DataFrame, doc: str, provenance: list[str] | None = None) ->
 
 
 def row_reasons(rows: DataFrame, length: int) -> DataFrame:
-    """rows with reject_reason of packed rows: ids, labels, mask, offsets."""
+    """rows with reject_reason of packed rows: ids, then what is derived from them, then the window's place in its document."""
     c = F.col
-    made = (
-        F.when(c("labels") != labels(c("input_ids")), "labels")
-        .when(c("attention_mask") != attention_mask(c("input_ids")), "mask")
-        .when((c("chunk_count") <= 0) | (c("chunk_index") < 0) | (c("chunk_index") >= c("chunk_count")), "index")
-        .when((c("token_start") < 0) | (c("token_end") <= c("token_start")) | (c("document_token_count") < c("token_end")), "offset")
-        .when(c("token_end") - c("token_start") != target_count(c("labels")) - c("is_final_document_window").cast("int"), "targets")
+    body = target_count(c("labels")) - c("is_final_document_window").cast("int")
+    last = c("chunk_index") == c("chunk_count") - 1
+    made = first_reason(
+        labels=c("labels") == labels(c("input_ids")),
+        mask=c("attention_mask") == attention_mask(c("input_ids")),
+        index=c("chunk_index").between(0, c("chunk_count") - 1),
+        offset=(c("token_start") >= 0) & (c("token_start") < c("token_end")) & (c("token_end") <= c("document_token_count")),
+        targets=c("token_end") == c("token_start") + body,
+        last=c("is_final_document_window") == last,
+        tail=last == (c("token_end") == c("document_token_count")),
     )
     return rows.withColumn("reject_reason", F.coalesce(packed_reject(c("input_ids"), c("is_final_document_window"), length), made))
 
 
+#: Columns of a packed row that repeat its family's, and those that hold a SHA-256 in hexadecimal.
+FAMILY_FIELDS = ("split", "language", "functional_family", "template_family", "scenario_family")
+HASH_FIELDS = ("task_sha256", "text_sha256", "functional_signature")
+
+
+def provenance_reasons(rows: DataFrame, families: DataFrame, split: str | None = None) -> DataFrame:
+    """rows with reject_reason of where packed rows come from: their family and its values, the split of their files, category,
+    versions, status, window semantics, and well-formed hashes."""
+    c = F.col
+    # families are configuration: a table of fixed, small size
+    known = families.select("family_id", F.struct("task_kind", *FAMILY_FIELDS).alias("__family"))
+    kind = c("__family.task_kind")
+    checks = {"record_id": c("record_id") != "", "family_id": kind.isNotNull()}
+    checks |= {f: c(f) == c(f"__family.{f}") for f in FAMILY_FIELDS}
+    if split is not None:
+        checks["file_split"] = c("split") == split
+    checks |= {
+        "category": c("category") == F.when(kind == "identity", "identity_foundation").otherwise("synthetic_reasoning"),
+        "generator_id": c("generator_id") == kind,
+        "generator_version": c("generator_version") == GENERATOR_VERSION,
+        "verifier_version": c("verifier_version") == VERIFIER_VERSION,
+        "validation_status": c("validation_status") == "verified",
+        "window_semantics": c("window_semantics") == WINDOW_SEMANTICS,
+    }
+    checks |= {f: c(f).rlike("^[0-9a-f]{64}$") for f in HASH_FIELDS}
+    return rows.join(F.broadcast(known), "family_id", "left").withColumn("reject_reason", first_reason(**checks)).drop("__family")
+
+
 def packable(df: DataFrame, n_tokens: Column, length: int) -> DataFrame:
     """df with packable: whether a document fits a window of its own."""
     return df.withColumn("packable", n_tokens + 2 <= length)
@@ -146,9 +179,9 @@ def shards(df: DataFrame, by: list[str], order: list[str], slots: str, most: int
 
 
 def fixed_shards(df: DataFrame, by: list[str], order: list[str], slots: str, most: int = SHARD_SLOTS) -> DataFrame:
-    """As shards with other borders: a document's shard is the slots before it, divided by ``most``. Window functions only."""
-    before = F.sum(slots).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    return df.withColumn("shard", F.floor(F.coalesce(before, F.lit(0)) / most).cast("long"))
+    """As shards with other borders: a document's shard is the slots before it, divided by ``most``; no group is read by one task."""
+    rows = placed(df, by, order, "__place", slots, "__before")
+    return rows.withColumn("shard", F.floor(F.col("__before") / most).cast("long")).drop("__place", "__before")
 
 
 def batches(df: DataFrame, order: list[str], rows: int, accumulate: int) -> DataFrame:

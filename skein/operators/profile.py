@@ -36,7 +36,7 @@ def length_summary(df: DataFrame, by: list[str], value: Column) -> DataFrame:
         )
         return found["v"]
 
-    return rows.select(*by, "count", "min", (F.col("total") / F.col("count")).alias("mean"), at(0.5).alias("p50"), at(0.95).alias("p95"), "max")
+    return rows.select(*by, "count", "min", F.round(F.col("total") / F.col("count"), 3).alias("mean"), at(0.5).alias("p50"), at(0.95).alias("p95"), "max")
 
 
 def lexical_profile(df: DataFrame, by: list[str], text: str) -> DataFrame:
@@ -48,7 +48,7 @@ def lexical_profile(df: DataFrame, by: list[str], text: str) -> DataFrame:
     forms = rows.select(*by, F.explode("tokens").alias("w")).select(*by, casefold(F.col("w")).alias("w")).distinct()
     forms = forms.groupBy(*by).agg(F.count("*").alias("word_forms"))
     joined = sizes.join(forms, by, "left").withColumn("word_forms", F.coalesce("word_forms", F.lit(0)))
-    ratio = F.when(F.col("word_tokens") > 0, F.col("word_forms") / F.col("word_tokens"))
+    ratio = F.when(F.col("word_tokens") > 0, F.round(F.col("word_forms") / F.col("word_tokens"), 6))
     return joined.withColumn("type_token_ratio", ratio)
 
 
@@ -67,3 +67,14 @@ def members(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
 def agreement(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     """Whether a group has one value in each of the columns."""
     return df.groupBy(*by).agg(*[(F.count_distinct(c) == 1).alias(f"{c}_agrees") for c in columns])
+
+
+def key_sorted(entries: Column) -> Column:
+    """A map with its keys in order: equal maps are then written alike."""
+    return F.map_from_entries(F.array_sort(F.map_entries(entries)))
+
+
+def counted_map(df: DataFrame, column: str) -> DataFrame:
+    """One row with counts: values of a column and their rows, null left out, sorted by value. For columns of few values."""
+    each = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    return each.agg(key_sorted(F.map_from_entries(F.collect_list(F.struct(column, "n")))).alias("counts"))

@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..policy import GROUNDED_SCENARIOS, LANGUAGES, SPLITS, TASK_KINDS
+from ..functions.text import contract_reject
+from ..policy import GENERATOR_VERSION, GROUNDED_SCENARIOS, LANGUAGE_PURPOSE, LANGUAGE_SCHEMA, LANGUAGES, SPLITS, TASK_KINDS
+from . import registry
 
 REQUIRED = [
     "record_id", "text", "prompt", "answer", "language", "split", "family_id", "functional_family", "template_family",
@@ -17,6 +19,15 @@ REQUIRED = [
 ]
 
 
+# What an assistant may say of itself, written down apart from the generator's.
+IDENTITY_ANSWERS = {
+    "en/name": "I am called Skein.", "en/creator": "The Skein project built me.", "en/type": "I am a language model.",
+    "en/false_attribution": "No, the Skein project built me.", "en/multi_turn": "Yes, I am still called Skein.", "en/boundaries": "No, I only read text.",
+    "ru/name": "Меня зовут Skein.", "ru/creator": "Меня построил проект Skein.", "ru/type": "Я языковая модель.",
+    "ru/false_attribution": "Нет, меня построил проект Skein.", "ru/multi_turn": "Да, меня всё так же зовут Skein.", "ru/boundaries": "Нет, я только читаю текст.",
+}
+
+
 def first_reason(**checks: Column) -> Column:
     """Name of the first check that fails (is false or null), or null."""
     out = None
@@ -67,7 +78,8 @@ def _expected(t: Column) -> Column:
         .when(t["scenario"] == "object_presence", F.array_contains(t["visible"], t["requested"]))
         .when(t["scenario"] == "action_sequence", t["completed"] == t["required"])
     )
-    spoken = F.when(t["scenario"] == "task_switch", (left + right).cast("string")).otherwise(F.concat(F.lit("answer to "), t["scenario"]))
+    said = F.create_map(*[F.lit(x) for key, answer in IDENTITY_ANSWERS.items() for x in (key, answer)])
+    spoken = F.when(t["scenario"] == "task_switch", (left + right).cast("string")).otherwise(F.element_at(said, F.concat_ws("/", t["language"], t["scenario"])))
     return (
         F.when(t["kind"] == "arithmetic", calc.cast("string"))
         .when(t["kind"] == "mode_transition", mode)
@@ -100,9 +112,11 @@ def _verifier(t: Column) -> Column:
 
 
 def answer_reason(task: str = "task", answer: str = "answer", verifier: str = "answer_verifier") -> Column:
-    """Why an answer is not its task's: verifier, range or answer."""
+    """Why an answer is not its task's: verifier, range or answer. Kinds with a registered verifier are its own: answer only."""
     t = F.col(task)
-    return first_reason(verifier=F.col(verifier) == _verifier(t), range=_in_range(t), answer=F.col(answer) == _expected(t))
+    own = first_reason(verifier=F.col(verifier) == _verifier(t), range=_in_range(t), answer=F.col(answer) == _expected(t))
+    registered = F.when(~F.col(answer).eqNullSafe(registry.expected(task)), "answer")
+    return F.when(registry.has_verifier(task), registered).otherwise(own)
 
 
 def verified(records: DataFrame) -> DataFrame:
@@ -167,3 +181,26 @@ def capacity_reasons(families: DataFrame, location: int = 201 * 201, divide: int
         F.col("task_kind") == "arithmetic", F.when(F.col("operation") == "divide", divide).otherwise(operands)
     )
     return families.where(F.col("records_per_family") > space).select("family_id", "records_per_family", space.alias("space"))
+
+
+def language_record_reasons(records: DataFrame, root: int) -> DataFrame:
+    """Tokenizer-language records with reject_reason: schema, purpose, version, language, text, checksum, provenance, seed, identity,
+    and duplicate for a text that another record has, too."""
+    c = F.col
+    hashed = lambda *xs: F.sha2(F.concat_ws("\u0000", *[x.cast("string") for x in xs]).cast("binary"), 256)
+    origin = [F.lit(GENERATOR_VERSION), F.lit(root), c("family_id"), c("language"), c("ordinal")]
+    digest = F.sha2(c("text").cast("binary"), 256)
+    often = records.where("text IS NOT NULL").groupBy(digest.alias("__digest")).agg(F.count("*").alias("__n")).where("__n > 1")
+    reason = first_reason(
+        schema=c("schema") == LANGUAGE_SCHEMA,
+        purpose=c("purpose") == LANGUAGE_PURPOSE,
+        generator_version=c("generator_version") == GENERATOR_VERSION,
+        language=c("language").isin(*LANGUAGES),
+        text=contract_reject(c("text")).isNull(),
+        text_sha256=c("text_sha256") == digest,
+        provenance=(c("ordinal") >= 0) & (c("family_id") != "") & (c("provenance") != ""),
+        seed=c("seed") == F.substring(hashed(*origin), 1, 32),
+        identity=c("record_id") == hashed(*origin, c("seed")),
+        duplicate=c("__n").isNull(),
+    )
+    return records.join(often, digest == c("__digest"), "left").withColumn("reject_reason", reason).drop("__digest", "__n")

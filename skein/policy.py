@@ -28,6 +28,8 @@ DIRECTIONS = ("north", "south", "east", "west", "север", "юг", "вост
 WINDOW, SHARD_SLOTS, ROW_GROUP = 4096, 100_000_000, 128
 NEAR_JACCARD, SHINGLE_WORDS = 0.85, 3
 GENERATOR_VERSION, VERIFIER_VERSION = "skein-generator.v1", "skein-verifier.v1"
+WINDOW_SEMANTICS = "skein-isolated-windows.v1"
+LANGUAGE_SCHEMA, LANGUAGE_PURPOSE = "skein-language-record.v1", "tokenizer_training_only"
 ROOT_SEED = 20_261_019
 
 # Fixed values of the generator's spaces.

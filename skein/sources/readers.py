@@ -23,7 +23,7 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType, strict: boo
     return spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
 
 
-def file_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+def file_hashes(spark: SparkSession, path: str | list[str], pattern: str = "*") -> DataFrame:
     """(path, bytes, sha256) of files, each read whole by one task; use streamed_hashes for files beyond a task's memory."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))

@@ -7,10 +7,12 @@ import os
 import shutil
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.evaluate import latest_status
+from ..operators.ordering import fixed
+from ..operators.pack import fixed_shards
 from ..policy import ROW_GROUP
 from .readers import file_hashes, self_hash
 
@@ -62,51 +64,83 @@ def subset(df: DataFrame, path: str, source_manifest: dict, spark: SparkSession)
 class Journal:
     """A ledger of committed shards: a run that is started again writes those that are missing and replays none.
 
-    Shards are folders ``shard=<n>``; a committed one has a line in the journal with the rows, tokens and file hashes it had.
+    Shards are folders ``shard=<n>``; a committed one has a line in the journal with the rows, tokens and file hashes it had. Shards
+    are written and committed some at a time, ``together`` in one job, so that the source is not read once per shard.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    SCHEMA = "shard bigint, rows bigint, tokens bigint, counted string, files array<string>"
+
+    def __init__(self, spark: SparkSession, root: str, together: int = 64):
+        self.spark, self.root, self.together = spark, root.rstrip("/"), together
 
     def committed(self) -> DataFrame:
-        schema = "shard bigint, rows bigint, tokens bigint, files array<string>"
         fs, p = _fs(self.spark, f"{self.root}/journal")
         if not fs.exists(p):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).json(f"{self.root}/journal")
-
-    def _hashes(self, shard: int) -> list[str]:
-        return sorted(r.sha256 for r in file_hashes(self.spark, f"{self.root}/shards/shard={shard}", "*.parquet").collect())
+            return self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).json(f"{self.root}/journal")
+
+    def _found(self, shards: list[int], tokens: str) -> DataFrame:
+        """(shard, rows, tokens, files) as they are on disk."""
+        folders = [f"{self.root}/shards/shard={n}" for n in shards]
+        rows = self.spark.read.option("basePath", f"{self.root}/shards").parquet(*folders)
+        counts = rows.groupBy(F.col("shard").cast("long").alias("shard")).agg(F.count("*").alias("rows"), F.coalesce(F.sum(tokens), F.lit(0)).cast("long").alias("tokens"))
+        files = file_hashes(self.spark, folders, "*.parquet")
+        files = files.groupBy(F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("long").alias("shard")).agg(F.sort_array(F.collect_list("sha256")).alias("files"))
+        return counts.join(files, "shard")
+
+    def _present(self) -> list[int]:
+        fs, p = _fs(self.spark, f"{self.root}/shards")
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(n[6:]) for n in names if n.startswith("shard="))
 
     def verify(self) -> list[int]:
-        """Committed shards; one whose files are not those of its commit is an error. Folders without a commit are deleted."""
-        done = {r.shard: r for r in self.committed().collect()}
-        for n, r in done.items():
-            if self._hashes(n) != sorted(r.files):
-                raise ValueError(f"shard {n} differs from its commit")
-        fs, p = _fs(self.spark, f"{self.root}/shards")
-        if fs.exists(p):
-            for status in fs.listStatus(p):
-                name = status.getPath().getName()
-                if name.startswith("shard=") and int(name[6:]) not in done:
-                    fs.delete(status.getPath(), True)
+        """Committed shards; one whose files or counters are not those of its commit is an error. Folders without a commit are deleted."""
+        commits = self.committed()
+        done = {r.shard: r.counted for r in commits.select("shard", "counted").collect()}
+        present = self._present()
+        for n in present:
+            if n not in done:
+                fs, p = _fs(self.spark, f"{self.root}/shards/shard={n}")
+                fs.delete(p, True)
+        if lost := sorted(set(done) - set(present)):
+            raise ValueError(f"shard {lost[0]} differs from its commit")
+        for counted in sorted(set(done.values())):
+            mine = sorted(n for n, c in done.items() if c == counted)
+            found = self._found(mine, counted).select("shard", *[F.col(c).alias(f"__{c}") for c in ("rows", "tokens", "files")])
+            same = (F.col("rows") == F.col("__rows")) & (F.col("tokens") == F.col("__tokens")) & (F.sort_array("files") == F.col("__files"))
+            both = commits.where(F.col("counted") == counted).join(found, "shard", "left")
+            bad = both.where(~F.coalesce(same, F.lit(False))).agg(F.min("shard").alias("n")).first().n
+            if bad is not None:
+                raise ValueError(f"shard {bad} differs from its commit")
         return sorted(done)
 
     def write(self, df: DataFrame, tokens: str, shard: str = "shard", stop_after: int | None = None) -> int:
-        """Writes the shards of df that are not committed; returns how many were."""
-        done, written = set(self.verify()), 0
-        for r in df.select(shard).distinct().orderBy(shard).collect():
-            n = r[0]
-            if n in done or (stop_after is not None and written >= stop_after):
-                continue
-            rows = df.where(F.col(shard) == n).drop(shard)
-            rows.write.mode("overwrite").parquet(f"{self.root}/shards/shard={n}")
-            back = self.spark.read.parquet(f"{self.root}/shards/shard={n}")
-            total = back.agg(F.count("*").alias("rows"), F.coalesce(F.sum(tokens), F.lit(0)).cast("long").alias("tokens"))
-            files = F.array(*[F.lit(h) for h in self._hashes(n)])
-            total.select(F.lit(n).cast("long").alias("shard"), "rows", "tokens", files.alias("files")).coalesce(1).write.mode("append").json(f"{self.root}/journal")
-            written += 1
-        return written
+        """Writes the shards of df that are not committed; returns how many were. A shard's rows are one task's, and one file."""
+        done = set(self.verify())
+        left = [r[0] for r in df.select(shard).distinct().orderBy(shard).collect() if r[0] not in done][:stop_after]
+        for i in range(0, len(left), self.together):
+            block = left[i : i + self.together]
+            rows = df.where(F.col(shard).isin(block)).withColumnRenamed(shard, "shard").repartition("shard")
+            rows.write.mode("append").partitionBy("shard").parquet(f"{self.root}/shards")
+            commit = self._found(block, tokens).withColumn("counted", F.lit(tokens))
+            commit.coalesce(1).write.mode("append").json(f"{self.root}/journal")
+        return len(left)
+
+
+def sharded(spark: SparkSession, df: DataFrame, root: str, by: list[str], order: list[str], tokens: str, most: int, reserve: int = 0) -> int:
+    """Numbers shards within groups, in order, and writes those that are not committed yet; refuses a disk without its reserve.
+
+    Shards of all groups are numbered through, by group, so that a shard holds one group only. Returns how many were written.
+    """
+    if not enough_disk(spark, root, reserve):
+        raise OSError(f"{root}: less than {reserve} bytes would stay free")
+    # cut once: a second reading of the source must not move a border
+    cut = fixed(fixed_shards(df, by, order, tokens, most))
+    sizes = cut.groupBy(*by).agg((F.max("shard") + 1).alias("__size"))
+    before = F.coalesce(F.sum("__size").over(Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select(F.struct(*by).alias("__by"), before.alias("__start"))
+    rows = cut.withColumn("__by", F.struct(*by)).join(starts, "__by").withColumn("shard", F.col("shard") + F.col("__start"))
+    return Journal(spark, root).write(rows.drop("__by", "__start"), tokens)
 
 
 class Ledger:
@@ -142,9 +176,10 @@ class Ledger:
         return latest_status(self.events(), "run", ["seq"], self.FIELDS)
 
 
-def enough_disk(path: str, reserve: int) -> bool:
-    """Whether a local folder's disk keeps ``reserve`` bytes free."""
-    return shutil.disk_usage(path).free >= reserve
+def enough_disk(spark: SparkSession, path: str, reserve: int) -> bool:
+    """Whether the file system that holds path keeps ``reserve`` bytes free, local or not."""
+    fs, p = _fs(spark, path)
+    return fs.getStatus(p).getRemaining() >= reserve
 
 
 def copy_bundle(source: str, target: str, expected: dict[str, str]) -> None:

@@ -19,7 +19,7 @@ def test_generated_records_are_verified_and_replayed(spark):
 
 def test_operands_do_not_repeat(spark):
     for op in ("add", "divide"):
-        left, right = generate.operands(F.col("id"), op, "en.x")
+        left, right = generate.operands(F.col("id"), op, *generate.affine_constants("en.x", generate.side_of(op) ** 2))
         rows = spark.range(2000).select(left.alias("l"), right.alias("r"))
         assert rows.distinct().count() == 2000
         assert op != "divide" or rows.where("l % r <> 0").count() == 0
