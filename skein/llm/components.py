@@ -9,7 +9,8 @@ a star of links to its least member leaves it.
 Other radii have no such neighbourhoods: fingerprints are dealt by key, and the members of a key are compared by Python workers.
 Small keys are compared all at once; in others, and in those whose members are near each other, the search goes from each
 fingerprint found to those not found yet. Never more than DENSE links a member leave a key. A key that over CELL fingerprints have
-is dealt to a grid of cells, of which each two of them meet in one.
+is dealt to a grid of cells, of which each two of them meet in one. Fingerprints of 128 bits are searched so by their first 64; a pair
+is a link if all its bits are near as well.
 
 ``components`` is the alternation of large stars and small stars; each round is a written table, so that a lost executor costs
 a round at most.
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
@@ -39,17 +40,26 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _near(x: np.ndarray, y: np.ndarray, radius: int) -> np.ndarray:
-    return np.bitwise_count((x[:, None] ^ y[None, :]).view(np.uint64)) <= radius
+#: Fingerprints as columns of 64 bits each, and how many bits may differ in the first one, in the first two and so on.
+Prints, Radii = tuple[np.ndarray, ...], tuple[int, ...]
 
 
-def key_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (a, b), a < b, with the components of all pairs of distinct fingerprints (signed longs) within the radius."""
-    left = np.sort(fps)
+def _within(x: Prints, y: Prints, radii: Radii) -> np.ndarray:
+    differ = np.bitwise_count((x[0] ^ y[0]).view(np.uint64))
+    near = differ <= radii[0]
+    for a, b, radius in zip(x[1:], y[1:], radii[1:]):
+        differ = differ + np.bitwise_count((a ^ b).view(np.uint64))
+        near &= differ <= radius
+    return near
+
+
+def key_pairs(prints: Prints, radii: Radii) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j), i < j, whose links have the components of all pairs of distinct fingerprints within the radii."""
+    left = np.arange(len(prints[0]))
     if len(left) <= SMALL:
-        a, b = np.nonzero(np.triu(_near(left, left, radius), 1))
+        a, b = np.nonzero(np.triu(_within(tuple(p[:, None] for p in prints), tuple(p[None, :] for p in prints), radii), 1))
         if len(a) <= DENSE * len(left):
-            return left[a], left[b]
+            return a, b
     froms, tos = [], []
     while len(left):
         seed, left = left[0], left[1:]
@@ -59,7 +69,7 @@ def key_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
             n = max(1, AT_ONCE // len(left))
             if len(new) > n:
                 found.append(new[n:])
-            hit = _near(new[:n], left, radius).any(axis=0)
+            hit = _within(tuple(p[new[:n]][:, None] for p in prints), tuple(p[left][None, :] for p in prints), radii).any(axis=0)
             if hit.any():
                 found.append(left[hit])
                 froms.append(np.full(int(hit.sum()), seed))
@@ -69,9 +79,16 @@ def key_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([none, *froms]), np.concatenate([none, *tos])
 
 
-def _links_of(key: np.ndarray, cell: np.ndarray, fps: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links of rows in order of key, cell and fingerprint: each group's are those of key_links."""
-    n = len(fps)
+def key_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b), a < b, of one key's fingerprints of 64 bits (signed longs); see key_pairs."""
+    fps = np.sort(fps)
+    a, b = key_pairs((fps,), (radius,))
+    return fps[a], fps[b]
+
+
+def _links_of(key: np.ndarray, cell: np.ndarray, prints: Prints, radii: Radii) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of links of rows in order of key, cell and fingerprint: each group's are those of key_pairs."""
+    n = len(key)
     new = np.ones(n, bool)
     new[1:] = (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])
     starts = np.flatnonzero(new)
@@ -86,7 +103,7 @@ def _links_of(key: np.ndarray, cell: np.ndarray, fps: np.ndarray, radius: int) -
         left = left[(left - step >= begins[left]) & (links[group[left]] <= DENSE * size[group[left]])]
         if not len(left):
             break
-        hit = left[np.bitwise_count((fps[left] ^ fps[left - step]).view(np.uint64)) <= radius]
+        hit = left[_within(tuple(p[left] for p in prints), tuple(p[left - step] for p in prints), radii)]
         links += np.bincount(group[hit], minlength=len(starts))
         froms.append(hit - step)
         tos.append(hit)
@@ -94,19 +111,20 @@ def _links_of(key: np.ndarray, cell: np.ndarray, fps: np.ndarray, radius: int) -
     if froms:
         froms, tos = np.concatenate(froms), np.concatenate(tos)
         plain = ~dense[group[tos]]
-        yield fps[froms[plain]], fps[tos[plain]]
+        yield froms[plain], tos[plain]
     for k in np.flatnonzero(dense):
-        yield key_links(fps[starts[k] : starts[k] + size[k]], radius)
+        a, b = key_pairs(tuple(p[starts[k] : starts[k] + size[k]] for p in prints), radii)
+        yield a + starts[k], b + starts[k]
 
 
-def _near_links(fps: DataFrame, masks: list[int], radius: int) -> DataFrame:
-    """Links (a, b) of the distinct fingerprints of fps (column fp) by tables of masks."""
-    spark = fps.sparkSession
+def _near_links(fps: DataFrame, masks: list[int], radii: Radii) -> DataFrame:
+    """Links (a, b) of distinct fingerprints by tables of masks of the first column; a and b are structs if there are more columns."""
+    spark, names = fps.sparkSession, fps.columns
     bounded_batches(spark)
     n, wide = fps.count(), np.array(masks, np.int64)
     total = n * len(masks)
     buckets = max(1, total // BUCKET_ROWS)
-    kinds = {"key": np.int64, "cell": np.int64, "fp": np.int64}
+    kinds = {"key": np.int64, "cell": np.int64, **{c: np.int64 for c in names}}
 
     def keys(x: np.ndarray) -> np.ndarray:
         """A hash of table and key, row by row; keys that share one are compared in vain."""
@@ -116,26 +134,35 @@ def _near_links(fps: DataFrame, masks: list[int], radius: int) -> DataFrame:
     hot = spark.sparkContext.broadcast(blocks.hot(fps, lambda batch: keys(batch.column(0).to_numpy()), total, CELL))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = max(1, blocks.HELD // len(wide))
         for batch in batches:
-            all_fps = batch.column(0).to_numpy()
-            for i in range(0, len(all_fps), max(1, blocks.HELD // len(wide))):
-                x = all_fps[i : i + max(1, blocks.HELD // len(wide))]
-                key, fp = keys(x), np.repeat(x, len(wide))
-                again, cell, _ = blocks.cells(key, blocks.mix(fp.view(np.uint64), 5), *hot.value)
-                rows = {"key": key[again], "cell": cell, "fp": fp[again]}
+            for i in range(0, batch.num_rows, some):
+                x = [c.to_numpy()[i : i + some] for c in batch.columns]
+                key, prints = keys(x[0]), [np.repeat(c, len(wide)) for c in x]
+                again, cell, _ = blocks.cells(key, blocks.mix(prints[-1].view(np.uint64), 5), *hot.value)
+                rows = {"key": key[again], "cell": cell, **{c: p[again] for c, p in zip(names, prints)}}
                 bucket = (blocks.mix(rows["key"].view(np.uint64) ^ blocks.mix(cell.view(np.uint64), 3), 9) % np.uint64(buckets)).astype(np.int64)
                 for b, block in blocks.dealt(rows, bucket, lambda y, at: {c: y[c][at] for c in kinds}):
                     yield blocks.row(b, 0, block)
 
+    ends = [f"{side}_{c}" for side in ("a", "b") for c in names]
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, some in blocks.by_bucket(batches):
             x = blocks.joined([blocks.unpack(block, kinds) for _, block in some])
-            at = blocks.order(x, ("key", "cell", "fp"))
-            for a, b in _links_of(x["key"][at], x["cell"][at], x["fp"][at], radius):
+            at = blocks.order(x, tuple(kinds))
+            prints = tuple(x[c][at] for c in names)
+            for a, b in _links_of(x["key"][at], x["cell"][at], prints, radii):
                 if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(p[side]) for side in (a, b) for p in prints], ends)
+
+    links = blocks.shuffled(fps.mapInArrow(deal, blocks.SCHEMA)).mapInArrow(compare, ", ".join(f"{e} bigint" for e in ends)).distinct()
+    return links.select(*[_node(*[F.col(f"{side}_{c}").alias(c) for c in names]).alias(side) for side in ("a", "b")])
+
 
-    return blocks.shuffled(fps.select("fp").mapInArrow(deal, blocks.SCHEMA)).mapInArrow(compare, "a bigint, b bigint").distinct()
+def _node(*parts: Column) -> Column:
+    """What stands for a fingerprint: its one long, or a struct of its longs."""
+    return F.struct(*parts) if len(parts) > 1 else parts[0]
 
 
 def linked(prints: DataFrame, masks: list[int], col: str = "fp", radius: int = RADIUS) -> DataFrame:
@@ -145,7 +172,7 @@ def linked(prints: DataFrame, masks: list[int], col: str = "fp", radius: int = R
     """
     fps = prints.select(F.col(col).alias("fp"))
     if radius != RADIUS:
-        return _near_links(fps, masks, radius)
+        return _near_links(fps, masks, (radius,))
     tables = F.array(*[F.struct(F.lit(i).cast("short").alias("t"), F.lit(m).cast("long").alias("m")) for i, m in enumerate(masks)])
     keyed = fps.select("fp", F.explode(tables).alias("x")).select("fp", F.col("x.t").alias("t"), F.col("fp").bitwiseAND(F.col("x.m")).alias("key"))
     held = keyed.groupBy("t", "key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
@@ -186,15 +213,27 @@ def components(links: DataFrame) -> DataFrame:
     return state.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def grouped(prints: DataFrame, masks: list[int], id_col: str, print_col: str, group_col: str, radius: int = RADIUS) -> DataFrame:
+def grouped(
+    prints: DataFrame, masks: list[int], id_col: str, print_col: str, group_col: str, radius: int = RADIUS, whole: int | None = None
+) -> DataFrame:
     """The columns of prints and group_col: the least id reachable over near fingerprints (hexadecimal strings of 64 bits).
 
+    With ``whole``, strings are of 128 bits, and near ones differ in at most ``radius`` of the first 64 and ``whole`` of all.
     Equal fingerprints stand once in the search. Null ids do not name a group unless it has no other.
     """
-    high, low = (F.conv(F.substring(print_col, at, 8), 16, 10).cast("long") for at in (1, 9))
-    rows = prints.withColumn("__fp", F.shiftleft(high, 32).bitwiseOR(low))
+
+    def half(at: int) -> Column:
+        high, low = (F.conv(F.substring(print_col, i, 8), 16, 10).cast("long") for i in (at, at + 8))
+        return F.shiftleft(high, 32).bitwiseOR(low)
+
+    halves = [half(1).alias("fp")] + ([] if whole is None else [half(17).alias("check")])
+    rows = prints.withColumn("__fp", _node(*halves))
     fps = written(rows.groupBy("__fp").agg(F.min(id_col).alias("__least")), "distinct")
-    roots = components(linked(fps, masks, "__fp", radius))
+    if whole is None:
+        links = linked(fps, masks, "__fp", radius)
+    else:
+        links = _near_links(fps.select("__fp.fp", "__fp.check"), masks, (radius, whole))
+    roots = components(links)
     known = fps.join(roots.select(F.col("node").alias("__fp"), "root"), "__fp", "left").withColumn("root", F.coalesce("root", "__fp"))
     least = known.groupBy("root").agg(F.min("__least").alias(group_col))
     of = written(known.join(least, "root").select("__fp", group_col), "roots")
