@@ -40,7 +40,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs)
+    return simhash.one_of_each(docs, find=simhash.near_copies)
 
 
 def power_of_two_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
