@@ -1,12 +1,13 @@
 """Operator 5: packing by power-of-two decomposition.
 
 A document's ids (with a closing id) are cut into pieces of binary lengths: as many of the context length as fit, then the
-powers of two of the rest, longest first. Pieces of one length are a bucket: the result is sorted by length, document and start,
-so that a bucket's sequences stand together and none crosses documents or is padded. sequence_id is a piece's place in that
-order, from 0 on, whatever the partitions of the input.
+powers of two of the rest, longest first. Pieces of one length are a bucket, so that none crosses documents or is padded. A bucket is
+dealt by hash into parts of about PART_BYTES, as many as its counted pieces need; a part is sorted by document and start, and its
+sequences stand together. sequence_id is a piece's place by length, part, document and start, from 0 on, whatever the partitions of
+the input.
 
 Defined cases: a null text is an empty text, whose only id is the closing one; repeated rows are separate documents, whose ids of
-sequences follow each other; null ids come first, ids that are no whole numbers are ordered by a hash; other columns of the input
+sequences follow each other; null ids come first in a part, ids that are no whole numbers are ordered by a hash; other columns of the input
 are ignored; an empty table gives an empty table. A text of any length is packed whole, by one task.
 """
 
@@ -26,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, drop_written, file_bytes, fresh, keyed, rounds, written
+from .common import bounded_batches, file_bytes, fresh, keyed, rounds, written
 
 CALL = 4096
 #: A worker remembers the ids of this many stretches and of this many words, about 200 bytes each.
@@ -38,6 +39,8 @@ _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARS = {b: b for b in _PRINTED} | {b: 256 + i for i, b in enumerate(sorted(set(range(256)).difference(_PRINTED)))}
 #: Pieces of one Arrow batch that a worker returns.
 OUT_ROWS = 20_000
+#: Bytes of one part of a bucket, and of a piece besides its ids.
+PART_BYTES, ROW_BYTES = 8 << 20, 64
 
 
 class WordEncoder:
@@ -176,15 +179,17 @@ def pack(
                         names,
                     )
 
-    # written, as both the ranges' bounds and their rows are read from it
+    # written, as it is counted and read again
     pieces = written(docs.mapInArrow(run, schema), "pieces")
-    order = ["length", "did", "tie", "start"]
-    dealt = pieces.repartitionByRange(*order).sortWithinPartitions(*order)
-    dealt = written(dealt.drop("did", "tie").withColumn("at", F.monotonically_increasing_id()), "buckets")
-    drop_written(pieces)
-    # the number of a range and a row's place in it; a row per range is broadcast
-    sizes = dealt.groupBy(F.shiftright("at", 33).alias("range")).agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    numbered = dealt.withColumn("range", F.shiftright("at", 33)).join(F.broadcast(sizes.select("range", before.alias("before"))), "range")
-    place = F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)
-    return numbered.select(F.col("id").alias(id_col), *names[3:], place.alias("sequence_id"))
+    # a row for each power of two
+    counts = sorted((r.length, r["count"]) for r in pieces.groupBy("length").count().collect())
+    parts = [-(-n * (4 * length * with_ids + ROW_BYTES) // PART_BYTES) for length, n in counts]
+    part = F.lit(0).cast("long")
+    for (length, _), first, n in zip(counts, accumulate(parts, initial=0), parts):
+        part = F.when(F.col("length") == length, first + F.pmod(F.xxhash64("did", "tie", "start"), F.lit(n))).otherwise(part)
+    pieces = pieces.withColumn("part", part)
+    sizes = pieces.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    in_part = F.row_number().over(Window.partitionBy("part").orderBy("did", "tie", "start")) - 1
+    numbered = pieces.withColumn("at", in_part).join(sizes.select("part", before.alias("before")), "part")
+    return numbered.select(F.col("id").alias(id_col), *names[3:], (F.col("before") + F.col("at")).alias("sequence_id"))

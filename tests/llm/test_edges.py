@@ -60,6 +60,21 @@ def test_ids_of_sequences_do_not_follow_the_partitions(spark):
     assert found[0] == found[1]
 
 
+def test_buckets_of_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PART_BYTES", 300)
+    rows = [(i, "word " * (i * 7 % 50)) for i in range(60)] + [(None, "word"), (3, "other words"), (3, "other words")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = []
+    for n in (1, 5):
+        got = sorted(packing.pack(df.repartition(n), P.path("word_bpe_49k.json"), context=16).collect(), key=lambda r: r.sequence_id)
+        assert [r.sequence_id for r in got] == list(range(len(got))) and all(len(r.ids) == 4 * r.length for r in got)
+        assert [r.length for r in got] == sorted(r.length for r in got)
+        assert sum(r.length for r in got) == sum(r.doc_tokens for r in got if r.start == 0)
+        found.append([(r.doc_id, r.start, r.length, r.ids_crc32) for r in got])
+    assert found[0] == found[1]
+    assert packing.pack(df.limit(0), P.path("word_bpe_49k.json")).count() == 0
+
+
 @pytest.mark.parametrize("cell", [100_000, 4])
 def test_links_within_a_radius_equal_brute_force(spark, monkeypatch, cell):
     from skein.llm.fingerprints import block_masks
