@@ -18,7 +18,8 @@ import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -31,7 +32,7 @@ from .common import bounded_batches, file_bytes, fresh, keyed, rounds, written
 
 CALL = 4096
 #: A worker remembers the ids of this many stretches and of this many words, about 200 bytes each.
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES, LONGEST = 600_000, 64
 #: Words of Latin letters with ASCII punctuation behind them; no special string and no contraction matches.
 LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)").fullmatch
 #: Byte-level tokenizers write bytes as characters: printable ones as themselves, the rest from 256 on.
@@ -43,6 +44,22 @@ OUT_ROWS = 20_000
 PART_BYTES, ROW_BYTES = 8 << 20, 64
 
 
+class _Memo(dict):
+    """What ``make`` returned for a key of up to LONGEST characters; emptied when it holds MEMO_ENTRIES."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        if len(key) > LONGEST:
+            return self.make(key)
+        if len(self) >= MEMO_ENTRIES:
+            self.clear()
+        made = self[key] = self.make(key)
+        return made
+
+
 class WordEncoder:
     """Ids of whole texts by a tokenizer file.
 
@@ -72,29 +89,21 @@ class WordEncoder:
         )
         #: str.split() also cuts at these, the tokenizer does not.
         self.controls = regex.compile("[\x1c-\x1f]").search
-        self.memo: dict[str, bytes] = {}
+        self.memo = _Memo(self._word)
         #: Lower-cased letters of Latin words, and punctuation behind them: each is a pre-token of its own.
-        self.cores: dict[str, bytes] = {}
+        self.cores = _Memo(self._core)
 
     def _core(self, piece: str) -> bytes:
-        ids = self.cores.get(piece)
-        if ids is None:
-            ids = b"".join(t.id.to_bytes(4, "little") for t in self.library.model.tokenize(piece.encode().decode("latin-1").translate(BYTE_CHARS)))
-            self.cores[piece] = ids
-        return ids
-
-    def _words(self, words: set[str]) -> None:
-        """Remembers the ids of words without white space."""
-        if len(self.cores) > MEMO_ENTRIES:
-            self.cores.clear()
-        other, core, memo = [], self._core, self.memo
-        for w in words:
-            m = LATIN(w)
-            if m:
-                memo[w] = core(m[1].lower()) + (core(m[2]) if m[2] else b"")
-            else:
-                other.append(w)
-        memo.update(zip(other, self._library(other)))
+        # printed ASCII stands for itself
+        spelt = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_CHARS)
+        return array("I", [t.id for t in self.library.model.tokenize(spelt)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        m = LATIN(word)
+        if not m:
+            return array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
+        core = self.cores[m[1].lower()]
+        return core + self.cores[m[2]] if m[2] else core
 
     def _library(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), CALL):
@@ -105,13 +114,8 @@ class WordEncoder:
         """Little-endian unsigned 32-bit ids of each text."""
         if not self.apart:
             return list(self._library(texts))
-        cut = [[t] if self.controls(t) else t.split() for t in texts]
-        seen = set().union(*cut)
-        if len(self.memo) + len(seen) > MEMO_ENTRIES:
-            self.memo.clear()
-        new = seen.difference(self.memo)
-        self._words(new)
-        return [b"".join(map(self.memo.__getitem__, words)) for words in cut]
+        ids = self.memo.__getitem__
+        return [self._word(t) if self.controls(t) else b"".join(map(ids, t.split())) for t in texts]
 
 
 def binary_lengths(n: int, most: int) -> list[int]:
