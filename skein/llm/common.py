@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 #: Bounds of one Arrow batch, so that a worker's memory does not follow the length of the texts.
 BATCH_ROWS, BATCH_BYTES = 20_000, 4 << 20
+#: Rows of a batch of Spark's Parquet reader, which holds them on the heap whatever their length (its default of 4096 is for numbers).
+READ_ROWS = 256
 #: Texts of one round inside a worker hold at most this many characters, or are one text.
 ROUND_CHARS = 1 << 20
 #: A worker's memo of pieces is emptied beyond this many entries.
@@ -20,9 +22,10 @@ MEMO_ENTRIES = 250_000
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Python operators of this session exchange small Arrow batches from now on."""
+    """Python operators of this session exchange small Arrow batches, and Parquet is read in small ones, from now on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READ_ROWS))
 
 
 def file_bytes(path: str, most: int = 64 << 20) -> bytes:
