@@ -8,8 +8,9 @@ a star of links to its least member leaves it.
 
 Other radii have no such neighbourhoods: fingerprints are dealt by key, and the members of a key are compared by Python workers.
 Small keys are compared all at once; in others, and in those whose members are near each other, the search goes from each
-fingerprint found to those not found yet. Never more than DENSE links a member leave a key. A key that over CELL fingerprints have
-is dealt to a grid of cells, of which each two of them meet in one. Fingerprints of 128 bits are searched so by their first 64; a pair
+fingerprint found to those not found yet. What is found in all keys of a bucket is joined there: each fingerprint leaves it with
+one link at most, to the least one of its part, which is mostly the same one in all buckets. A key that over CELL fingerprints
+have is dealt to a grid of cells, of which each two of them meet in one. Fingerprints of 128 bits are searched so by their first 64; a pair
 is a link if all its bits are near as well.
 
 ``components`` is the alternation of large stars and small stars; each round is a written table, so that a lost executor costs
@@ -117,6 +118,30 @@ def _links_of(key: np.ndarray, cell: np.ndarray, prints: Prints, radii: Radii) -
         yield a + starts[k], b + starts[k]
 
 
+def _numbered(prints: Prints) -> tuple[np.ndarray, Prints]:
+    """Numbers of rows' fingerprints, in order, and the distinct fingerprints."""
+    at = np.lexsort(prints[::-1])
+    new = np.ones(len(at), bool)
+    new[1:] = np.any([p[at][1:] != p[at][:-1] for p in prints], axis=0)
+    number = np.empty(len(at), np.int64)
+    number[at] = np.cumsum(new) - 1
+    return number, tuple(p[at[new]] for p in prints)
+
+
+def least_linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least of the numbers below n that each is linked to, directly or not; itself if that is the least."""
+    root = np.arange(n)
+    while True:
+        x, y = root[a], root[b]
+        differ = x != y
+        if not differ.any():
+            return root
+        a, b, x, y = a[differ], b[differ], x[differ], y[differ]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+
+
 def _near_links(fps: DataFrame, masks: list[int], radii: Radii) -> DataFrame:
     """Links (a, b) of distinct fingerprints by tables of masks of the first column; a and b are structs if there are more columns."""
     spark, names = fps.sparkSession, fps.columns
@@ -152,9 +177,12 @@ def _near_links(fps: DataFrame, masks: list[int], radii: Radii) -> DataFrame:
             x = blocks.joined([blocks.unpack(block, kinds) for _, block in some])
             at = blocks.order(x, tuple(kinds))
             prints = tuple(x[c][at] for c in names)
-            for a, b in _links_of(x["key"][at], x["cell"][at], prints, radii):
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(p[side]) for side in (a, b) for p in prints], ends)
+            number, distinct = _numbered(prints)
+            found = [(number[a], number[b]) for a, b in _links_of(x["key"][at], x["cell"][at], prints, radii)]
+            if found:
+                least = least_linked(len(distinct[0]), *(np.concatenate(f) for f in zip(*found)))
+                b = np.flatnonzero(least < np.arange(len(least)))
+                yield pa.RecordBatch.from_arrays([pa.array(p[side]) for side in (least[b], b) for p in distinct], ends)
 
     links = blocks.shuffled(fps.mapInArrow(deal, blocks.SCHEMA)).mapInArrow(compare, ", ".join(f"{e} bigint" for e in ends)).distinct()
     return links.select(*[_node(*[F.col(f"{side}_{c}").alias(c) for c in names]).alias(side) for side in ("a", "b")])

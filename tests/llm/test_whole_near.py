@@ -46,6 +46,25 @@ def test_links_of_a_key_equal_brute_force(monkeypatch, small, at_once):
     assert dict(enumerate(root)) == groups([(i, v % 2**64) for i, v in enumerate(fps)], 8)
 
 
+@pytest.mark.parametrize("bucket_rows", [1 << 18, 2000])
+def test_links_follow_the_size_of_a_group(spark, monkeypatch, bucket_rows):
+    # in each of 45 tables, keys of this group have up to four links a member
+    monkeypatch.setattr(components, "BUCKET_ROWS", bucket_rows)
+    rng = random.Random(8)
+    heart, masks = rng.getrandbits(64), fingerprints.block_masks(8, 10)
+
+    def near():
+        return heart ^ sum(1 << k for k in rng.sample(range(64), 4))
+
+    values = sorted({near() for _ in range(400)} | {rng.getrandbits(64) for _ in range(100)})
+    df = spark.createDataFrame([(components.signed(v),) for v in values], "fp bigint")
+    links = [(r.a % 2**64, r.b % 2**64) for r in components.linked(df, masks, "fp", 8).collect()]
+    assert len(links) < 2 * len(values)
+    at = {v: i for i, v in enumerate(values)}
+    least = components.least_linked(len(values), *(np.array([at[r[k]] for r in links], np.int64) for k in (0, 1)))
+    assert dict(enumerate(least.tolist())) == groups(list(enumerate(values)), 8)
+
+
 def test_fingerprint_query_joins_near_copies(spark, tmp_path):
     rng = random.Random(3)
     vocabulary = [f"word{i}" for i in range(400)]
