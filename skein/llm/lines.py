@@ -326,11 +326,17 @@ def _token_blocks(distinct: DataFrame, hot, buckets: int, part: tuple[int, int]
             searched = _in_bitmap(only[0].value, batch.column(5 + BITMAP).to_numpy()).astype(np.uint8)
             hit = _in_bitmap(only[1].value, _key_slots(key))
             key, row, pos = key[hit], row[hit], pos[hit]
+        if parts > 1:
+            # other parts' keys go first; those of a grid have cells in all parts
+            hit = key % parts == taken
+            if len(hot.value[0]):
+                hit |= np.isin(key, hot.value[0])
+            key, row, pos = key[hit], row[hit], pos[hit]
         whose = blocks.mix(did.view(_U) + blocks.mix(tie.view(_U) + ln.astype(_U), 3), 5)
         again, cell, side = blocks.cells(key.astype(np.int64), whose[row], *hot.value)
         key, row, pos = key[again], row[again], pos[again]
-        bucket = (blocks.mix((key.astype(_U) << _U(32)) ^ cell.view(_U), 9) % _U(parts * buckets)).astype(np.int64)
-        mine = np.flatnonzero(bucket // buckets == taken)
+        bucket = (blocks.mix((key.astype(_U) << _U(32)) ^ cell.view(_U), 9) % _U(buckets)).astype(np.int64)
+        mine = np.flatnonzero((key + (cell >> 32) + (cell & 0xFFFFFFFF)) % parts == taken)
         row = row[mine]
         words = _words_of(size)
         bits = np.stack([batch.column(4 + w).to_numpy() for w in range(BITMAP)], axis=1).view(_U)[row]
@@ -359,6 +365,15 @@ def _token_blocks(distinct: DataFrame, hot, buckets: int, part: tuple[int, int]
     return distinct.select(*columns).mapInArrow(deal, blocks.SCHEMA)
 
 
+def _shared(x: dict[str, np.ndarray]) -> np.ndarray:
+    """Places of the rows whose key another row has, too, in order of key, cell and line; most keys are of one row."""
+    at = np.argsort(x["key"])
+    same = x["key"][at[1:]] == x["key"][at[:-1]]
+    at = at[np.append(same, False) | np.insert(same, 0, False)] if len(at) else at
+    names = ("key", "cell", "known", "did", "tie", "ln")
+    return at[blocks.order({c: x[c][at] for c in names}, names)]
+
+
 def _pairs(x: dict[str, np.ndarray], named: np.ndarray, most_named: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of later and earlier rows that pass the filters, of rows in order of key, cell and line.
 
@@ -414,7 +429,7 @@ def _candidates(tokens: DataFrame, most_named: int | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, some in blocks.by_bucket(batches):
             x = blocks.joined([blocks.unpack(block, _TOKENS) for _, block in some])
-            x = _tokens_at(x, blocks.order(x, ("key", "cell", "known", "did", "tie", "ln")))
+            x = _tokens_at(x, _shared(x))
             named = np.zeros(len(x["key"]), np.int64)
             found = _pairs(x, named, most_named)
             if most_named is not None:
