@@ -92,8 +92,11 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, did_col: str, tie_col: st
     did = F.col(f"`{id_col}`")
     did = did.cast("long") if whole else F.when(did.isNotNull(), F.xxhash64(did.cast("string")))
     tie = F.xxhash64(F.col(f"`{text_col}`"))
-    ids = docs.select(did.alias("did"), tie.alias("tie")).groupBy("did").agg((F.min("tie") != F.max("tie")).alias("differ"))
-    unique = ids.where("differ").isEmpty()
+    # texts are read only where ids repeat
+    unique = docs.groupBy(did.alias("did")).count().where("count > 1").isEmpty()
+    if not unique:
+        ids = docs.select(did.alias("did"), tie.alias("tie")).groupBy("did").agg((F.min("tie") != F.max("tie")).alias("differ"))
+        unique = ids.where("differ").isEmpty()
     return docs.withColumns({did_col: did, tie_col: F.lit(0).cast("long") if unique else tie})
 
 

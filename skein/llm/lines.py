@@ -9,7 +9,7 @@ another token. A line goes if an earlier line, kept or not, has a Jaccard simila
 3. Prefix filter: a line's tokens are ordered by rarity; two lines that match share a token within their first
    n - ceil(0.8 n) + 1. These tokens are dealt out by token, in parts one after the other, so that their shuffle takes that share
    of the disk; a token that many lines have is dealt to a grid of cells, of which each pair of lines meets in one.
-4. Within a token, pairs pass the length filter, the positional filter and a filter by parity bits of both token sets (their
+4. Within a token, lines stand by classes of sizes, and pairs within reach of each other pass the length filter, the positional filter and a filter by parity bits of both token sets (their
    difference is at least that of the bits). A line names a few of its candidates, the earliest ones; lines that have more and
    match none of those go through a join with all of theirs, so that families of near copies are not paired with each other.
 5. Candidates are verified on their token sets. What is compared is 64-bit hashes of tokens.
@@ -24,7 +24,7 @@ gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +40,15 @@ COUNT_BITS = 20
 CELL, NAMED = 20_000, 4
 #: 64-bit words of the parity bitmap of a line's tokens: long lines need long bitmaps to be told apart.
 BITMAP = 4
-B = [f"b{i + 1}" for i in range(BITMAP)]
 #: Tokens of a line up to which one word, and two words of the bitmap are enough.
 ONE_WORD, TWO_WORDS = 24, 64
 #: Lines with fewer tokens match equal token sets only.
 LEAST = 4
+#: Least sizes of classes of lines: 1.25 times a size is in the next class at most.
+_CLASSES = [LEAST]
+while _CLASSES[-1] < 1 << 31:
+    _CLASSES.append(5 * _CLASSES[-1] // 4 + 1)
+_CLASSES = np.array(_CLASSES)
 #: Parts of the tokens that are dealt out one after the other.
 PASSES = 2
 #: Lines, and tokens, of a bucket, about; what a worker holds before it writes blocks.
@@ -52,6 +56,10 @@ BUCKET_LINES, BUCKET_TOKENS, HELD_LINES = 1 << 15, 1 << 17, 1 << 17
 #: Most bits of a filter of candidates, as a power of two; filters grow with the candidates up to here.
 FILTER_BITS = 27
 OUT_ROWS = 20_000
+#: Bytes of a block of written lines, about (or one line): a batch of the reader holds READ_ROWS blocks.
+BLOCK_BYTES = 1 << 17
+#: Pairs that are compared at a time, about (at least one for each row that is searched).
+ROUND_PAIRS = 1 << 17
 #: Characters of texts that are cut into words at a time (or one text): their arrays should fit a core's cache.
 ROUND = 1 << 18
 
@@ -147,13 +155,26 @@ _LINE = {"s1": np.int64, "s2": np.int64, "known": np.uint8, "did": np.int64, "ti
 _LINES = _LINE | {"bits": np.uint64, "keys": np.uint32}
 
 
+Cut = Callable[[dict[str, np.ndarray], np.ndarray], dict[str, np.ndarray]]
+
+
+def _cutter(x: dict[str, np.ndarray], **many: np.ndarray) -> Cut:
+    """Takes the rows of some places of x; ``many``: how many values each row has of a column. Its offsets are found once for all cuts."""
+    spans = {c: (np.cumsum(n) - n, n) for c, n in many.items()}
+
+    def cut(_: dict[str, np.ndarray], at: np.ndarray) -> dict[str, np.ndarray]:
+        return {c: x[c][blocks.ranges(spans[c][0][at], spans[c][1][at]) if c in spans else at] for c in x}
+
+    return cut
+
+
+def _lines_cutter(x: dict[str, np.ndarray]) -> Cut:
+    return _cutter(x, bits=_words_of(x["size"]), keys=_prefix_length(x["size"]))
+
+
 def _lines_at(x: dict[str, np.ndarray], at: np.ndarray) -> dict[str, np.ndarray]:
     """The lines of these places."""
-    out = {}
-    for many, of in (("bits", _words_of), ("keys", _prefix_length)):
-        n = of(x["size"])
-        out[many] = x[many][blocks.ranges((np.cumsum(n) - n)[at], n[at])]
-    return {c: x[c][at] for c in _LINE} | out
+    return _lines_cutter(x)(x, at)
 
 
 def _earliest(x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +226,7 @@ def rarity(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
 
 
 def _line_table(texts: DataFrame, classes, n_lines: int) -> DataFrame:
-    """A row per line with words that is the earliest of its token set, with its prefix, and one without for each that goes."""
+    """Rows with a block of lines with words that are the earliest of their token sets, and a row without for each that goes."""
     buckets = max(1, n_lines // BUCKET_LINES)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +236,7 @@ def _line_table(texts: DataFrame, classes, n_lines: int) -> DataFrame:
             x = blocks.joined(held)
             first, other = _earliest(x)
             kept, gone = _lines_at(x, first), {c: x[c][other] for c in _LINE}
-            rows = [(b, 0, block) for b, block in blocks.dealt(kept, (kept["s1"].view(_U) % _U(buckets)).astype(np.int64), _lines_at)]
+            rows = [(b, 0, block) for b, block in blocks.dealt(kept, (kept["s1"].view(_U) % _U(buckets)).astype(np.int64), _lines_cutter(kept))]
             spread = (blocks.mix(gone["did"].view(_U), 7) % _U(buckets)).astype(np.int64)
             rows += [(b, 1, block) for b, block in blocks.dealt(gone, spread, lambda y, at: {c: y[c][at] for c in _LINE})]
             for row in rows:
@@ -241,22 +262,21 @@ def _line_table(texts: DataFrame, classes, n_lines: int) -> DataFrame:
         if held:
             yield from flush()
 
-    names = [*REF, "size", *B, "prefix"]
+    names = [*REF, "n_keys", "block"]
+
+    def whole(x: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keys, words = _prefix_length(x["size"]), _words_of(x["size"])
+        ends = np.cumsum(4 * keys + 8 * words + 32)
+        cut, edges = _lines_cutter(x), np.flatnonzero(np.diff(ends // BLOCK_BYTES, prepend=-1))
+        for i, j in zip(edges, np.append(edges[1:], len(ends))):
+            block = blocks.pack(cut(x, np.arange(i, j)))
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, kind) for kind in (pa.int64(), pa.int64(), pa.int32())), pa.array([keys[i:j].sum()], pa.int64()), pa.array([block], pa.binary())], names)
 
-    def rows(x: dict[str, np.ndarray], whole: bool) -> Iterator[pa.RecordBatch]:
+    def gone(x: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(x["did"]), OUT_ROWS):
-            part = _lines_at(x, np.arange(i, min(i + OUT_ROWS, len(x["did"])))) if whole else {c: x[c][i : i + OUT_ROWS] for c in _LINE}
-            m = len(part["did"])
-            columns = [pa.array(part["did"], pa.int64(), mask=part["known"] == 0), *(pa.array(part[c]) for c in ("tie", "ln", "size"))]
-            bits = np.zeros((m, BITMAP), _U)
-            if whole:
-                bits[np.arange(BITMAP) < _words_of(part["size"])[:, None]] = part["bits"]
-                ends = np.concatenate([[0], np.cumsum(4 * _prefix_length(part["size"]))]).astype(np.int32)
-                prefix = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(ends), pa.py_buffer(part["keys"].tobytes())])
-            else:
-                prefix = pa.nulls(m, pa.binary())
-            columns += [pa.array(bits[:, w].copy().view(np.int64)) for w in range(BITMAP)]
-            yield pa.RecordBatch.from_arrays([*columns, prefix], names)
+            part = {c: x[c][i : i + OUT_ROWS] for c in _LINE}
+            columns = [pa.array(part["did"], pa.int64(), mask=part["known"] == 0), pa.array(part["tie"]), pa.array(part["ln"])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(part["did"]), pa.int64()), pa.nulls(len(part["did"]), pa.binary())], names)
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, some in blocks.by_bucket(batches):
@@ -264,31 +284,27 @@ def _line_table(texts: DataFrame, classes, n_lines: int) -> DataFrame:
             for kind, block in some:
                 x = blocks.unpack(block, _LINE if kind else _LINES)
                 if kind:
-                    yield from rows(x, False)
+                    yield from gone(x)
                     continue
                 held.append(x)
                 n += len(x["did"])
                 if len(held) > 1 and n - len(held[0]["did"]) >= HELD_LINES:
                     x = blocks.joined(held)
                     first, other = _earliest(x)
-                    yield from rows({c: x[c][other] for c in _LINE}, False)
+                    yield from gone({c: x[c][other] for c in _LINE})
                     held, n = [_lines_at(x, first)], len(first)
             if held:
                 x = blocks.joined(held)
                 first, other = _earliest(x)
-                yield from rows({c: x[c][other] for c in _LINE}, False)
-                yield from rows(_lines_at(x, first), True)
+                yield from gone({c: x[c][other] for c in _LINE})
+                yield from whole(_lines_at(x, first))
 
-    return blocks.shuffled(texts.mapInArrow(deal, blocks.SCHEMA)).mapInArrow(combine, f"did bigint, tie bigint, ln int, size int, {', '.join(f'{b} bigint' for b in B)}, prefix binary")
+    return blocks.shuffled(texts.mapInArrow(deal, blocks.SCHEMA)).mapInArrow(combine, "did bigint, tie bigint, ln int, n_keys bigint, block binary")
 
 
-def _prefix_keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of an array of prefixes, and how many each has."""
-    if isinstance(column, pa.LargeBinaryArray):
-        column = column.cast(pa.binary())
-    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2], np.uint8, int(ends[-1] - ends[0]), int(ends[0])) if len(column) and ends[-1] > ends[0] else np.zeros(0, np.uint8)
-    return np.ascontiguousarray(data).view(np.uint32), np.diff(ends).astype(np.int64) // 4
+def _unpacked(column: pa.Array) -> dict[str, np.ndarray]:
+    """The lines of an array of blocks."""
+    return blocks.joined([blocks.unpack(block, _LINES) for block in column.to_pylist()])
 
 
 _TOKENS = {
@@ -297,9 +313,16 @@ _TOKENS = {
 }
 
 
+def _tokens_cutter(x: dict[str, np.ndarray]) -> Cut:
+    return _cutter(x, bits=_words_of(x["size"]))
+
+
 def _tokens_at(x: dict[str, np.ndarray], at: np.ndarray) -> dict[str, np.ndarray]:
-    n = _words_of(x["size"])
-    return {c: x[c][at] for c in _TOKENS if c != "bits"} | {"bits": x["bits"][blocks.ranges((np.cumsum(n) - n)[at], n[at])]}
+    return _tokens_cutter(x)(x, at)
+
+
+def _line_hashes(x: dict[str, np.ndarray]) -> np.ndarray:
+    return blocks.mix(x["did"].view(_U) + blocks.mix(x["tie"].view(_U) + x["ln"].astype(_U), 3), 5)
 
 
 def _slot() -> Column:
@@ -311,19 +334,17 @@ def _token_blocks(distinct: DataFrame, hot, buckets: int, part: tuple[int, int]
     """Blocks of the prefix tokens of every distinct line; with ``part`` (k, n), of the k-th of n parts of them.
 
     A hot token has a grid of sides ** 2 / 2 cells: a line goes to those of its side. ``only`` holds bitmaps of the lines whose
-    candidates are searched, by _slot, and of their keys; other keys are left out.
+    candidates are searched, by _line_hashes, and of their keys; other keys are left out.
     """
     taken, parts = part
 
     def tokens(batch: pa.RecordBatch) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        key, many = _prefix_keys(batch.column(4 + BITMAP))
-        row = np.repeat(np.arange(batch.num_rows), many)
-        known = batch.column(0).is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)
-        did, tie, ln, size = batch.column(0).fill_null(0).to_numpy(), *(batch.column(i).to_numpy() for i in (1, 2, 3))
-        pos = blocks.ranges(np.zeros(len(many), np.int64), many)
-        searched = np.ones(batch.num_rows, np.uint8)
+        y = _unpacked(batch.column(0))
+        key, many, words, whose = y["keys"], _prefix_length(y["size"]), _words_of(y["size"]), _line_hashes(y)
+        row, pos = np.repeat(np.arange(len(many)), many), blocks.ranges(np.zeros(len(many), np.int64), many)
+        searched = np.ones(len(many), np.uint8)
         if only:
-            searched = _in_bitmap(only[0].value, batch.column(5 + BITMAP).to_numpy()).astype(np.uint8)
+            searched = _in_bitmap(only[0].value, whose.view(np.int64)).astype(np.uint8)
             hit = _in_bitmap(only[1].value, _key_slots(key))
             key, row, pos = key[hit], row[hit], pos[hit]
         if parts > 1:
@@ -332,16 +353,13 @@ def _token_blocks(distinct: DataFrame, hot, buckets: int, part: tuple[int, int]
             if len(hot.value[0]):
                 hit |= np.isin(key, hot.value[0])
             key, row, pos = key[hit], row[hit], pos[hit]
-        whose = blocks.mix(did.view(_U) + blocks.mix(tie.view(_U) + ln.astype(_U), 3), 5)
         again, cell, side = blocks.cells(key.astype(np.int64), whose[row], *hot.value)
         key, row, pos = key[again], row[again], pos[again]
         bucket = (blocks.mix((key.astype(_U) << _U(32)) ^ cell.view(_U), 9) % _U(buckets)).astype(np.int64)
         mine = np.flatnonzero((key + (cell >> 32) + (cell & 0xFFFFFFFF)) % parts == taken)
         row = row[mine]
-        words = _words_of(size)
-        bits = np.stack([batch.column(4 + w).to_numpy() for w in range(BITMAP)], axis=1).view(_U)[row]
-        x = {"key": key[mine], "cell": cell[mine], "open": searched[row], "known": known[row], "did": did[row], "tie": tie[row], "ln": ln[row], "size": size[row],
-             "pos": pos[mine].astype(np.int32), "side": side[mine], "bits": bits[np.arange(BITMAP) < words[row][:, None]]}
+        x = {"key": key[mine], "cell": cell[mine], "open": searched[row]} | {c: y[c][row] for c in ("known", "did", "tie", "ln", "size")}
+        x |= {"pos": pos[mine].astype(np.int32), "side": side[mine], "bits": y["bits"][blocks.ranges((np.cumsum(words) - words)[row], words[row])]}
         return x, bucket[mine]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,7 +367,7 @@ def _token_blocks(distinct: DataFrame, hot, buckets: int, part: tuple[int, int]
 
         def flush() -> Iterator[pa.RecordBatch]:
             x = blocks.joined([h[0] for h in held])
-            for b, block in blocks.dealt(x, np.concatenate([h[1] for h in held]), _tokens_at):
+            for b, block in blocks.dealt(x, np.concatenate([h[1] for h in held]), _tokens_cutter(x)):
                 yield blocks.row(b, 0, block)
 
         for batch in batches:
@@ -361,8 +379,7 @@ def _token_blocks(distinct: DataFrame, hot, buckets: int, part: tuple[int, int]
         if n:
             yield from flush()
 
-    columns = [*REF, "size", *B, "prefix", *[_slot().alias("slot")] * bool(only)]
-    return distinct.select(*columns).mapInArrow(deal, blocks.SCHEMA)
+    return distinct.select("block").mapInArrow(deal, blocks.SCHEMA)
 
 
 def _shared(x: dict[str, np.ndarray]) -> np.ndarray:
@@ -374,17 +391,50 @@ def _shared(x: dict[str, np.ndarray]) -> np.ndarray:
     return at[blocks.order({c: x[c][at] for c in names}, names)]
 
 
-def _pairs(x: dict[str, np.ndarray], named: np.ndarray, most_named: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of later and earlier rows that pass the filters, of rows in order of key, cell and line.
+def _spans(x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and, for each, spans (first, length) of places of earlier rows of its key and cell that it may match; what row is at a place.
 
-    Later rows are open ones. ``named`` counts a row's candidates; with ``most_named``, a row that has more is not searched on.
+    Lines that match differ by a class of sizes at most, and a token at ``pos`` of a line of ``a`` tokens is shared with matching
+    lines of at most (5 a - 9 pos) / 4 tokens (its reach). Rows stand by class and reach, and by line within those.
     """
     n = len(x["key"])
     new = np.ones(n, bool)
     new[1:] = (x["key"][1:] != x["key"][:-1]) | (x["cell"][1:] != x["cell"][:-1])
-    starts = np.flatnonzero(new)
-    begins = np.repeat(starts, np.diff(np.append(starts, n)))
-    size, pos, cell, side = x["size"].astype(np.int64), x["pos"], x["cell"], x["side"]
+    size = x["size"].astype(np.int64)
+    of = np.searchsorted(_CLASSES, size, "right")
+    # classes beyond its own: -1, 0 or 1
+    reach = np.clip(np.searchsorted(_CLASSES, (5 * size - 9 * x["pos"]) // 4, "right") - of, -1, 1)
+    wide = 3 * (len(_CLASSES) + 2)
+    begin = np.cumsum(new) * wide
+    group = begin + 3 * of + reach + 1
+    at = np.argsort(group, kind="stable")
+    place = group[at] * n + at
+    later, first, length = [], [], []
+    for step, reaches in ((0, (0, 1)), (-1, (1,)), (1, (-1, 0, 1))):
+        j = np.flatnonzero(x["open"].astype(bool) & (reach >= step))
+        for r in reaches:
+            k = (begin[j] + 3 * (of[j] + step) + r + 1) * n
+            lo = np.searchsorted(place, k)
+            later.append(j)
+            first.append(lo)
+            length.append(np.searchsorted(place, k + j) - lo)
+    later, first, length = (np.concatenate(c) for c in (later, first, length))
+    some = np.flatnonzero(length)
+    some = some[np.argsort(later[some], kind="stable")]
+    return later[some], first[some], length[some], at
+
+
+def _pairs(x: dict[str, np.ndarray], named: np.ndarray, most_named: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of later and earlier rows that pass the filters, of rows in order of key, cell and line.
+
+    Later rows are open ones. ``named`` counts a row's candidates; with ``most_named``, a row that has more is not searched on, and
+    at most so many of its pairs are returned.
+    """
+    n = len(x["key"])
+    later, first, length, row_at = _spans(x)
+    size, cell, side = x["size"].astype(np.int64), x["cell"], x["side"]
+    rest = size - x["pos"]
+    grids = cell.any()
     inner = cell >> 32 == cell & 0xFFFFFFFF
     words = _words_of(size)
     wide = np.zeros((n, BITMAP), _U)
@@ -392,21 +442,25 @@ def _pairs(x: dict[str, np.ndarray], named: np.ndarray, most_named: int | None)
     # a bitmap of fewer words is the longer one, folded
     two = np.stack([wide[:, 0] ^ wide[:, 2], wide[:, 1] ^ wide[:, 3]], axis=1)
     one = two[:, 0] ^ two[:, 1]
-    left, step = np.flatnonzero(x["open"]), 0
+    step = 1
     while True:
-        # each line with the earliest of its group first
-        left = left[begins[left] + step < left]
         if most_named is not None:
-            left = left[named[left] <= most_named]
-        if not len(left):
+            left = np.flatnonzero(named[later] <= most_named)
+            later, first, length = later[left], first[left], length[left]
+        if not len(later):
             break
-        i, j = begins[left] + step, left
-        step += 1
+        # some rows of each span, the earliest first
+        step = max(1, min(2 * step, ROUND_PAIRS // len(later)))
+        taken = np.minimum(length, step)
+        i, j = row_at[blocks.ranges(first, taken)], np.repeat(later, taken)
+        left = np.flatnonzero(length > step)
+        later, first, length = later[left], first[left] + step, length[left] - step
         a, b = size[i], size[j]
         need = (4 * (a + b) + 8) // 9
-        ok = (5 * np.minimum(a, b) >= 4 * np.maximum(a, b)) & (np.minimum(a - pos[i], b - pos[j]) >= need)
-        # lines of one side meet only in the cell of their own
-        ok &= inner[i] | (side[i] != side[j])
+        ok = (5 * np.minimum(a, b) >= 4 * np.maximum(a, b)) & (np.minimum(rest[i], rest[j]) >= need)
+        if grids:
+            # lines of one side meet only in the cell of their own
+            ok &= inner[i] | (side[i] != side[j])
         i, j, most = i[ok], j[ok], (a + b - 2 * need)[ok]
         ok = np.bitwise_count(one[i] ^ one[j]) <= most
         i, j, most = i[ok], j[ok], most[ok]
@@ -416,7 +470,15 @@ def _pairs(x: dict[str, np.ndarray], named: np.ndarray, most_named: int | None)
         # tokens of one line may share a key
         ok &= (x["ln"][i] != x["ln"][j]) | (x["did"][i] != x["did"][j]) | (x["tie"][i] != x["tie"][j]) | (x["known"][i] != x["known"][j])
         i, j = i[ok], j[ok]
-        named[j] += 1
+        if not len(j):
+            continue
+        # a row's pairs of this round stand together
+        edges = np.flatnonzero(np.diff(j, prepend=-1))
+        times = np.diff(np.append(edges, len(j)))
+        which = named[j] + blocks.ranges(np.ones(len(edges), np.int64), times)
+        named[j[edges]] += times
+        if most_named is not None:
+            i, j = i[which <= most_named], j[which <= most_named]
         yield j, i
 
 
@@ -433,8 +495,7 @@ def _candidates(tokens: DataFrame, most_named: int | None) -> DataFrame:
             named = np.zeros(len(x["key"]), np.int64)
             found = _pairs(x, named, most_named)
             if most_named is not None:
-                # at most most_named for a row
-                few = [(j[named[j] <= most_named], i[named[j] <= most_named]) for j, i in found]
+                few = list(found)
                 found = [(np.concatenate([f[0] for f in few]), np.concatenate([f[1] for f in few]))] if few else []
             for later, earlier in found:
                 for k in range(0, len(later), OUT_ROWS):
@@ -509,16 +570,23 @@ def _key_slots(key: np.ndarray) -> np.ndarray:
 
 def _all_candidates(open_: DataFrame, distinct: DataFrame, hot, buckets: int) -> DataFrame:
     """ENDS of every candidate of the lines ``open_`` (REF); other lines of their bitmap's slots add a few, which are verified, too."""
-    lines_in = _bitmap(open_, _slot(), _filter_bits(open_.count()))
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = {c: batch.column(i).fill_null(0).to_numpy() for i, c in enumerate(REF)}
+            yield pa.RecordBatch.from_arrays([pa.array(_line_hashes(x).view(np.int64))], ["slot"])
+
+    lines_in = _bitmap(open_.select(*REF).mapInArrow(slots, "slot bigint"), F.col("slot"), _filter_bits(open_.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = _in_bitmap(lines_in.value, batch.column(1).to_numpy())
-            keys = np.unique(_prefix_keys(batch.column(0).filter(pa.array(hit)))[0])
+            x = _unpacked(batch.column(0))
+            hit = _in_bitmap(lines_in.value, _line_hashes(x).view(np.int64))
+            keys = np.unique(x["keys"][np.repeat(hit, _prefix_length(x["size"]))])
             if len(keys):
                 yield pa.RecordBatch.from_arrays([pa.array(_key_slots(keys))], ["slot"])
 
-    keys = written(distinct.select("prefix", _slot().alias("slot")).mapInArrow(run, "slot bigint").distinct(), "keys")
+    keys = written(distinct.select("block").mapInArrow(run, "slot bigint").distinct(), "keys")
     keys_in = _bitmap(keys, F.col("slot"), _filter_bits(keys.count()))
     pairs = _candidates(_token_blocks(distinct, hot, buckets, only=(lines_in, keys_in)), None)
     pairs = written(pairs.select(*ENDS).distinct(), "pairs")
@@ -534,21 +602,23 @@ def _removed(texts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     classes = spark.sparkContext.broadcast(classes)
     lines = written(_line_table(texts, classes, n_lines), "lines")
     release(spark)
-    distinct, equal = lines.where("prefix IS NOT NULL"), lines.where("prefix IS NULL").select(*REF)
-    total = (distinct.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0) // 4
-    hot = blocks.hot(distinct.select("prefix"), lambda batch: _prefix_keys(batch.column(0))[0].astype(np.int64), total, CELL)
+    distinct, equal = lines.where("block IS NOT NULL").select("n_keys", "block"), lines.where("block IS NULL").select(*REF)
+    total = distinct.agg(F.sum("n_keys")).first()[0] or 0
+    hot = blocks.hot(distinct.select("block"), lambda batch: _unpacked(batch.column(0))["keys"].astype(np.int64), total, CELL)
     hot = spark.sparkContext.broadcast(hot)
     buckets = max(1, total // (PASSES * BUCKET_TOKENS))
     parts = []
     for i in range(PASSES):
         parts.append(written(_candidates(_token_blocks(distinct, hot, buckets, (i, PASSES)), NAMED).groupBy(*ENDS).agg(F.max("more").alias("more")), "part"))
         release(spark)
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    named = written(every.groupBy(*ENDS).agg(F.max("more").alias("more")), "pairs")
-    for part in parts:
-        drop_written(part)
+    named = parts[0]
+    if len(parts) > 1:
+        every = parts[0]
+        for part in parts[1:]:
+            every = every.unionByName(part)
+        named = written(every.groupBy(*ENDS).agg(F.max("more").alias("more")), "pairs")
+        for part in parts:
+            drop_written(part)
     near = [_verified(named, texts, classes)]
     # lines that have more candidates than they named, and match none of those: all of theirs
     # (by one struct, which a null id does not keep from matching)
