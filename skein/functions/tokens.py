@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import arrow
 from ..policy import BOS, CONTROL_LITERALS, CONTROL_NAMES, CORE_NAMES, END_OF_TURN, FIRST_BYTE_ID, RESERVED_MARK, SPECIAL_IDS, START_LITERAL, TURN_LITERAL, VOCABULARY
 
 
@@ -58,31 +60,30 @@ def encoder(make: Callable[[], Tokenizer], vocabulary: int = VOCABULARY) -> Call
     Texts are normalized to NFC; ids are null where a text breaks the contract, gives control or unknown ids, or does not decode
     to itself.
     """
+    arrow.bounded()
     kept: list[Tokenizer] = []
-
-    @F.pandas_udf("ids array<int>, reason string")
-    def encode(texts: pd.Series) -> pd.DataFrame:
+    ids = pa.list_(pa.int32())
+
+    def one(text: str | None) -> dict:
+        if text is None or not text.strip():
+            return {"ids": None, "reason": "blank"}
+        text = unicodedata.normalize("NFC", text)
+        if any(c in text for c in CONTROL_LITERALS):
+            return {"ids": None, "reason": "control_literal"}
+        if RESERVED_MARK in text:
+            return {"ids": None, "reason": "reserved_mark"}
+        made = kept[0].encode(text)
+        if any(i in SPECIAL_IDS or not 0 <= i < vocabulary for i in set(made)):
+            return {"ids": None, "reason": "control_id"}
+        if kept[0].decode(made) != text:
+            return {"ids": None, "reason": "round_trip"}
+        return {"ids": np.array(made, np.int32), "reason": None}
+
+    @F.arrow_udf("ids array<int>, reason string")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if not kept:
             kept.append(make())
-        tokenizer, out = kept[0], []
-        for text in texts:
-            if text is None or not text.strip():
-                out.append((None, "blank"))
-                continue
-            text = unicodedata.normalize("NFC", text)
-            if any(c in text for c in CONTROL_LITERALS):
-                out.append((None, "control_literal"))
-            elif RESERVED_MARK in text:
-                out.append((None, "reserved_mark"))
-            else:
-                ids = tokenizer.encode(text)
-                if any(i in SPECIAL_IDS or not 0 <= i < vocabulary for i in ids):
-                    out.append((None, "control_id"))
-                elif tokenizer.decode(ids) != text:
-                    out.append((None, "round_trip"))
-                else:
-                    out.append((ids, None))
-        return pd.DataFrame(out, columns=["ids", "reason"])
+        return arrow.each(batches, one, lambda x: 0 if x["ids"] is None else len(x["ids"]), pa.struct([("ids", ids), ("reason", pa.string())]))
 
     return encode
 
@@ -90,30 +91,29 @@ def encoder(make: Callable[[], Tokenizer], vocabulary: int = VOCABULARY) -> Call
 def decoder(make: Callable[[], Tokenizer], specials: dict[int, str], skip_special: bool = False) -> Callable[[Column], Column]:
     """A function of id columns: text, where runs of ordinary ids are decoded between special ids, which are written or skipped."""
 
+    arrow.bounded()
     kept: list[Tokenizer] = []
 
-    @F.pandas_udf("string")
-    def decode(rows: pd.Series) -> pd.Series:
+    def one(ids) -> str | None:
+        if ids is None:
+            return None
+        out, run = [], []
+        for i in [*ids, None]:
+            if i is not None and i not in specials:
+                run.append(int(i))
+                continue
+            if run:
+                out.append(kept[0].decode(run))
+                run = []
+            if i is not None and not skip_special:
+                out.append(specials[i])
+        return "".join(out)
+
+    @F.arrow_udf("string")
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if not kept:
             kept.append(make())
-        tokenizer = kept[0]
-
-        def one(ids) -> str | None:
-            if ids is None:
-                return None
-            out, run = [], []
-            for i in [*ids, None]:
-                if i is not None and i not in specials:
-                    run.append(int(i))
-                    continue
-                if run:
-                    out.append(tokenizer.decode(run))
-                    run = []
-                if i is not None and not skip_special:
-                    out.append(specials[i])
-            return "".join(out)
-
-        return rows.map(one)
+        return arrow.each(batches, one, lambda text: len(text or ""), pa.string())
 
     return decode
 
@@ -131,13 +131,17 @@ def render_chat(messages: Column, generation: bool = False) -> Column:
 
 def contents_encoder(make: Callable[[], Tokenizer]) -> Callable[[Column], Column]:
     """A function of columns of arrays of texts: the ids of each, in NFC; a null text has none. The tokenizer is made once per worker."""
+    arrow.bounded()
     kept: list[Tokenizer] = []
 
-    @F.pandas_udf("array<array<int>>")
-    def encode(rows: pd.Series) -> pd.Series:
+    def one(texts) -> list | None:
+        return None if texts is None else [np.array(kept[0].encode(unicodedata.normalize("NFC", t or "")), np.int32) for t in texts]
+
+    @F.arrow_udf("array<array<int>>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if not kept:
             kept.append(make())
-        return rows.map(lambda texts: None if texts is None else [kept[0].encode(unicodedata.normalize("NFC", t or "")) for t in texts])
+        return arrow.each(batches, one, lambda made: sum(map(len, made or ())), pa.list_(pa.list_(pa.int32())))
 
     return encode
 
