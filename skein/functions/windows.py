@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import arrow
 from ..policy import BOS, END_OF_DOCUMENT, IGNORE, PAD, SPECIAL_IDS, VOCABULARY
 
 
@@ -40,10 +43,17 @@ def window_ranges(n: Column, length: int) -> Column:
 
 def byte_ids(text: Column, first: int = 19) -> Column:
     """Token ids of the UTF-8 bytes: byte + first."""
+    arrow.bounded()
+
+    @F.arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def made() -> Iterator[tuple[object, int]]:
+            for batch in batches:
+                for x in batch:
+                    data = x.as_buffer()
+                    yield (None, 0) if data is None else (np.frombuffer(data, np.uint8).astype(np.int32) + np.int32(first), data.size)
 
-    @F.pandas_udf("array<int>")
-    def ids(data: pd.Series) -> pd.Series:
-        return data.map(lambda b: None if b is None else np.frombuffer(b, np.uint8).astype(np.int32) + np.int32(first))
+        return arrow.in_rounds(made(), pa.list_(pa.int32()))
 
     return ids(F.encode(text, "UTF-8"))
 
