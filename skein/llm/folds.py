@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 #: Every n-th fold is held out.
 FOLDS = 5
 
@@ -28,6 +30,7 @@ def labelled_texts(
     docs: DataFrame, labels: DataFrame, label: Column, most: int, most_bytes: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[list[str], list]:
     """At most ``most`` whole texts of at most ``most_bytes`` each, and their labels, on the driver."""
+    bounded_batches(docs.sparkSession)
     known = labelled_ids(labels, label, most, id_col)
     texts = docs.select(F.col(f"`{id_col}`").alias("__key"), F.col(f"`{text_col}`").alias("__text"))
     # the sample is bounded by ``most``; every document passes by it without a shuffle

@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
 from .folds import labelled_ids
 
 # Fixed values of the contract: what separates words, and symbols.
@@ -31,6 +32,7 @@ FIT_ROWS, FIT_BYTES = 16_000, 32_768
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, BASE, base_failed and MEASURES of every whole text; one pass, no shuffle."""
+    bounded_batches(docs.sparkSession)
 
     def less(chars: str) -> Column:
         return F.length(F.regexp_replace("__text", f"[{chars}]+", ""))
