@@ -56,39 +56,65 @@ def prompt_sets(df: DataFrame, id_col: str, text_col: str, split: str = "split",
     Prompts are told apart by their digests; no text is a key of a shuffle.
     """
     rows = df.select(F.col(split).alias("split"), F.col(id_col).alias("doc"), canonical_prompt(F.col(text_col)).alias("prompt"))
-    rows = rows.select("split", "doc", content_hash(F.col("prompt")).alias("digest"), words(F.col("prompt")).alias("words"))
-    rows = rows.select("split", "doc", "digest", F.transform(shingles(F.col("words"), width), lambda x: F.xxhash64(x)).alias("shingles"))
-    least = F.min(F.struct("doc", "shingles")).alias("x")
-    return rows.groupBy("split", "digest").agg(least).select("split", "x.doc", "digest", "x.shingles")
+    # prompts are shuffled, of which repeats go, and not their shingles: hashes are longer than words, and are not compressed
+    least = F.min(F.struct("doc", "prompt")).alias("x")
+    rows = rows.withColumn("digest", content_hash(F.col("prompt"))).groupBy("split", "digest").agg(least)
+    rows = rows.select("split", "x.doc", "digest", words(F.col("x.prompt")).alias("words"))
+    return rows.select("split", "doc", "digest", F.transform(shingles(F.col("words"), width), lambda x: F.xxhash64(x)).alias("shingles"))
+
+
+#: Tables of at most so many rows of ids or hashes are broadcast.
+FEW = 1 << 19
+
+
+def _few(df: DataFrame) -> DataFrame | None:
+    """df, which is checkpointed, as a broadcast; nothing where it has over FEW rows."""
+    return F.broadcast(df) if df.count() <= FEW else None
 
 
 def near_duplicates(left: DataFrame, right: DataFrame, least: float = NEAR_JACCARD, apart: str | None = None) -> DataFrame:
     """(doc_l, doc_r, jaccard) of pairs of two prompt sets with a Jaccard similarity of ``least`` or more.
 
-    Prefix filter: in an order of rarity that both sides share, two such sets have a common member among the first
-    n - ceil(least n) + 1 of either. Only those are shuffled; candidates pass the length and the positional filter, and are
-    verified on their sets. With ``apart``, pairs whose values of that column differ, each once: train first, then validation.
+    Prefix filter: in an order that both sides share, two such sets have a common member among the first
+    n - ceil(least n) + 1 of either. The order is by halves of the hashes, in each by rarity, so that members of the second half
+    are counted and shuffled for those sets only whose prefix reaches it. Candidates pass the length and the positional filter, and
+    are verified on their sets. With ``apart``, pairs whose values of that column differ, each once: train first, then validation.
     """
+    same = left is right
     columns = ["doc", "shingles", *[apart] * (apart is not None)]
-    sides = [fixed(x.select(*columns)) for x in ((left,) if left is right else (left, right))]
-    sides = sides * (2 if len(sides) == 1 else 1)
-    every = sides[0].select("shingles") if left is right else sides[0].select("shingles").unionByName(sides[1].select("shingles"))
-    # members of one set only join nothing
-    often = every.select(F.explode("shingles").alias("member")).groupBy("member").agg(F.count("*").alias("n")).where("n > 1")
-    often = fixed(often)
+    turn = lambda c: F.when(F.col(c) == "train", 0).when(F.col(c) == "validation", 1).otherwise(2)
+    n, low = F.size("shingles"), F.filter("shingles", lambda x: x >= 0)
+
+    def reached(x: DataFrame) -> DataFrame:
+        prefix = (n - F.ceil(n * least - 1e-9) + 1).cast("int")
+        x = fixed(x.select(*columns)).withColumns({"size": n, "low": F.size(low), "prefix": prefix})
+        return x.withColumn("members", F.when(F.col("low") >= prefix, low).otherwise(F.col("shingles")))
+
+    sides = [reached(x) for x in ((left,) if same else (left, right))]
+    sides = sides * (2 if same else 1)
+    groups = [turn(apart) if apart else F.lit(0)] if same else [F.lit(0), F.lit(1)]
+    each = [x.select(F.explode("members").alias("member"), g.alias("g")) for x, g in zip(sides, groups)]
+    if not same:
+        # members that the right side lacks join nothing
+        known = fixed(each[1].select("member").distinct())
+        each[0] = each[0].join(_few(known) or known, "member", "left_semi")
+    counted = (each[0] if same else each[0].unionByName(each[1])).groupBy("member")
+    counted = counted.agg(F.count("*").alias("n"), F.min("g").alias("g0"), F.max("g").alias("g1"))
+    # members of one set only, or of sets of one kind only, join nothing
+    often = fixed(counted.where("n > 1" if same and not apart else "g0 < g1").select("member", "n"))
+    often = _few(often) or often
 
     def side(sets: DataFrame, s: str) -> tuple[DataFrame, DataFrame]:
-        n = F.size("shingles")
-        held = sets.select("doc", *columns[2:], n.alias("size"), F.explode("shingles").alias("member")).join(often, "member")
-        # what is rare comes first; members of one set only are rarer than all others
-        row = [F.col("doc"), *map(F.col, columns[2:])]
-        order = F.sort_array(F.collect_list(F.struct(F.col("n"), F.col("member")))).alias("order")
-        rows = held.groupBy(*row, "size").agg(order)
-        alone = F.col("size") - F.size("order")
-        first = F.slice("order", F.lit(1), F.greatest(F.lit(0), F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1 - alone).cast("int"))
-        first = rows.select(*columns[:1], *columns[2:], "size", alone.alias("alone"), F.posexplode(first).alias("place", "x"))
-        named = {"doc": f"doc_{s}", "size": f"n_{s}", **({apart: f"apart_{s}"} if apart else {})}
-        first = first.select(*[F.col(a).alias(b) for a, b in named.items()], (F.col("place") + F.col("alone")).alias(f"place_{s}"), F.col("x.member").alias("member"))
+        held = sets.select("doc", *columns[2:], "size", "low", "prefix", F.explode("members").alias("member")).join(often, "member")
+        # in each half what is rare comes first; members that join nothing are rarer than all others
+        row = ["doc", *columns[2:], "size", "low", "prefix"]
+        order = F.sort_array(F.collect_list(F.struct((F.col("member") < 0).alias("half"), "n", "member"))).alias("order")
+        rows = held.groupBy(*row).agg(order).withColumn("low_order", F.size(F.filter("order", lambda x: ~x["half"])))
+        first = rows.select(*row, "low_order", F.size("order").alias("joined"), F.posexplode("order").alias("place", "x"))
+        ahead = F.when(F.col("x.half"), F.col("size") - F.col("joined")).otherwise(F.col("low") - F.col("low_order"))
+        first = first.withColumn("place", F.col("place") + ahead).where("place < prefix")
+        named = {"doc": f"doc_{s}", "size": f"n_{s}", "place": f"place_{s}", **({apart: f"apart_{s}"} if apart else {})}
+        first = first.select(*[F.col(a).alias(b) for a, b in named.items()], F.col("x.member").alias("member"))
         whole = sets.select(F.col("doc").alias(f"doc_{s}"), F.col("shingles").alias(f"set_{s}"), *[F.col(c).alias(f"apart_{s}") for c in columns[2:]])
         return whole, first
 
@@ -98,10 +124,14 @@ def near_duplicates(left: DataFrame, right: DataFrame, least: float = NEAR_JACCA
     keep = (F.least("n_l", "n_r") >= F.greatest("n_l", "n_r") * least - 1e-9) & (F.least(F.col("n_l") - F.col("place_l"), F.col("n_r") - F.col("place_r")) >= need)
     ends = ["doc_l", "doc_r"]
     if apart:
-        turn = lambda c: F.when(F.col(c) == "train", 0).when(F.col(c) == "validation", 1).otherwise(2)
         keep, ends = keep & (turn("apart_l") < turn("apart_r")), [*ends, "apart_l", "apart_r"]
     pairs = first_l.join(first_r.withColumnRenamed("member", "member_r"), (F.col("member") == F.col("member_r")) & keep).select(*ends).distinct()
-    full = pairs.join(whole_l, [c for c in ends if c.endswith("_l")]).join(whole_r, [c for c in ends if c.endswith("_r")])
+    full = pairs = fixed(pairs)
+    for whole, s in ((whole_l, "_l"), (whole_r, "_r")):
+        key = [c for c in ends if c.endswith(s)]
+        # sets of no pair are not shuffled, where the pairs' ends are few
+        met = _few(fixed(pairs.select(*key).distinct()))
+        full = full.join(whole if met is None else whole.join(met, key, "left_semi"), key)
     common = F.size(F.array_intersect("set_l", "set_r"))
     score = common / (F.size("set_l") + F.size("set_r") - common)
     return full.select("doc_l", "doc_r", score.alias("jaccard")).where(F.col("jaccard") >= least)
